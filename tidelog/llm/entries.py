@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from .media import op5_media_columns
 from .mixing import op9_mix_sources
+from .order_minhash import op6_order_minhash
+from .packing import op8_pack_documents
 from .sharding import op4_shard_documents
+from .tokens import op2_count_tokens
 
 QUERIES = {
+    "op2_count_tokens": op2_count_tokens,
     "op4_shard_documents": op4_shard_documents,
     "op5_media_columns": op5_media_columns,
+    "op6_order_minhash": op6_order_minhash,
+    "op8_pack_documents": op8_pack_documents,
     "op9_mix_sources": op9_mix_sources,
 }
 
