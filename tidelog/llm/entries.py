@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .licenses import op1_license_scan
 from .media import op5_media_columns
 from .mixing import op9_mix_sources
 from .order_minhash import op6_order_minhash
@@ -10,6 +11,7 @@ from .sharding import op4_shard_documents
 from .tokens import op2_count_tokens
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_count_tokens": op2_count_tokens,
     "op4_shard_documents": op4_shard_documents,
     "op5_media_columns": op5_media_columns,
