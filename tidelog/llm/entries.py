@@ -7,12 +7,14 @@ from .media import op5_media_columns
 from .mixing import op9_mix_sources
 from .order_minhash import op6_order_minhash
 from .packing import op8_pack_documents
+from .quality import op3_quality_classifier
 from .sharding import op4_shard_documents
 from .tokens import op2_count_tokens
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_count_tokens": op2_count_tokens,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_shard_documents": op4_shard_documents,
     "op5_media_columns": op5_media_columns,
     "op6_order_minhash": op6_order_minhash,
