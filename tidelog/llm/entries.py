@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .jaccard import op10_jaccard_join
 from .licenses import op1_license_scan
 from .media import op5_media_columns
 from .mixing import op9_mix_sources
@@ -20,6 +21,7 @@ QUERIES = {
     "op6_order_minhash": op6_order_minhash,
     "op8_pack_documents": op8_pack_documents,
     "op9_mix_sources": op9_mix_sources,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
