@@ -120,20 +120,18 @@ def with_next(df: DataFrame, carried: list[str]) -> DataFrame:
     grouped = df.withColumn("_g", group)
     tie = [F.col("doc_id").desc_nulls_last(), F.col("_tie")]
     w = Window.partitionBy("_g").orderBy(*tie)
-    grouped = grouped.withColumn("_tie", F.xxhash64(*carried))
-    inside = grouped.select("*", F.lead(F.struct(*carried)).over(w).alias("_next"), F.row_number().over(w).alias("_i"), F.lit(True).alias("_here"))
+    # One exchange of the texts: the window, the groups' first rows and the join below all read it.
+    placed = grouped.withColumn("_tie", F.xxhash64(*carried)).repartition("_g")
+    inside = placed.select(*df.columns, "_g", F.lead(F.struct(*carried)).over(w).alias("_next"))
     # One row a group: its first document's key, and the group that comes next.
-    heads = grouped.groupBy("_g").agg(F.max_by(F.struct(*carried), F.struct("doc_id", F.bitwise_not("_tie"))).alias("_head"))
+    heads = placed.groupBy("_g").agg(F.max_by(F.struct(*carried), F.struct("doc_id", F.bitwise_not("_tie"))).alias("_head"))
     keys = df.select(group.alias("_g")).distinct()
     down = Window.orderBy(F.col("_g").desc())
     order = keys.select("_g", F.lead("_g").over(down).alias("_to"), F.max("_g").over(Window.partitionBy()).alias("_top"))
     order = order.select("_g", F.coalesce("_to", "_top").alias("_to"))
     links = order.join(heads.withColumnRenamed("_g", "_to"), "_to").select(F.col("_g").alias("_lg"), "_head")
-    ends = inside.where("_next IS NULL")
-    rest = inside.where("_next IS NOT NULL")
-    closed = ends.join(links, ends["_g"] == links["_lg"]).withColumn("_next", F.col("_head")).select(*rest.columns)
-    both = rest.unionByName(closed)
-    return both.select(*df.columns, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in carried])
+    closed = inside.join(links, (inside["_g"] == links["_lg"]) & F.col("_next").isNull(), "left").withColumn("_next", F.coalesce("_next", "_head"))
+    return closed.select(*df.columns, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in carried])
 
 
 def order_minhash(df: DataFrame) -> DataFrame:
