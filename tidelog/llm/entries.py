@@ -10,6 +10,7 @@ from .order_minhash import op6_order_minhash
 from .packing import op8_pack_documents
 from .quality import op3_quality_classifier
 from .sharding import op4_shard_documents
+from .substring import op7_shared_passages
 from .tokens import op2_count_tokens
 
 QUERIES = {
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_shard_documents": op4_shard_documents,
     "op5_media_columns": op5_media_columns,
     "op6_order_minhash": op6_order_minhash,
+    "op7_shared_passages": op7_shared_passages,
     "op8_pack_documents": op8_pack_documents,
     "op9_mix_sources": op9_mix_sources,
     "op10_jaccard_join": op10_jaccard_join,
