@@ -34,6 +34,8 @@ SHARE = 1.5
 MAX_EPOCHS = 2.0
 BUCKETS = 4096
 SEED = 20240229
+#: A plan of one row a source is broadcast up to so many sources, and shuffled beyond.
+BROADCAST_SOURCES = 50_000
 
 
 def word_count(col: Column) -> Column:
@@ -82,29 +84,34 @@ def mix_sources(
 ) -> DataFrame:
     """doc_id, size, source_size, target, whole (repetitions), extra (words of one
     more, partial or full, repetition) and taken (words in all), plus ``keep``."""
-    base = cut(
-        df.select(
-            "doc_id",
-            *[F.col(c) for c in keep],
-            F.col("source").alias("_source"),
-            word_count(F.col("text")).alias("size"),
-            F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(BUCKETS)).cast("int").alias("_bucket"),
-        )
+    rows = df.select(
+        "doc_id",
+        *[F.col(c) for c in keep],
+        F.col("source").alias("_source"),
+        word_count(F.col("text")).alias("size"),
+        F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(BUCKETS)).cast("int").alias("_bucket"),
     )
+    base = cut(rows.select("doc_id", "_source", "size", "_bucket"))
     buckets = base.groupBy(F.col("_source").alias("source"), "_bucket").agg(F.sum("size").alias("_bucket_size"))
     targets = source_targets(buckets.groupBy("source").agg(F.sum("_bucket_size").alias("source_size")), weights, share, max_epochs)
     running = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     b = buckets.withColumn("_upto", F.sum("_bucket_size").over(running)).withColumnRenamed("source", "_s")
     rate = F.col("target") / F.col("source_size")
-    plan = (
+    part = (F.col("_need") - (F.col("_upto") - F.col("_bucket_size"))) / F.col("_bucket_size")
+    # Of each source: the first bucket that is not taken whole once more, and the part of it that is.
+    plan = cut(
         b.join(targets, b["_s"].eqNullSafe(targets["source"]))
         .withColumn("whole", F.when(F.col("source_size") > 0, F.floor(rate + F.lit(1e-12))).otherwise(F.lit(0)).cast("int"))
         .withColumn("_need", F.col("target") - F.col("whole") * F.col("source_size"))
-        .withColumn("_part", (F.col("_need") - (F.col("_upto") - F.col("_bucket_size"))) / F.col("_bucket_size"))
-        .select("_s", F.col("_bucket").alias("_b"), "source_size", "target", "whole", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce("_part", F.lit(0.0)))).alias("_part"))
+        .withColumn("_part", F.when(F.col("_bucket_size") > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), part))).otherwise(F.lit(1.0)))
+        .groupBy("_s", "source_size", "target", "whole")
+        .agg(F.min(F.when(F.col("_part") < 1, F.struct("_bucket", "_part"))).alias("_edge"))
+        .select("_s", "source_size", "target", "whole", F.coalesce("_edge._bucket", F.lit(BUCKETS)).alias("_edge"), F.coalesce("_edge._part", F.lit(0.0)).alias("_part"))
     )
-    out = base.join(plan, base["_source"].eqNullSafe(plan["_s"]) & (base["_bucket"] == plan["_b"]))
-    extra = F.round(F.col("size") * F.col("_part")).cast("long")
+    small = plan.count() <= BROADCAST_SOURCES
+    chosen = rows if keep else base
+    out = chosen.join(F.broadcast(plan) if small else plan, chosen["_source"].eqNullSafe(plan["_s"]))
+    extra = F.when(F.col("_bucket") < F.col("_edge"), F.col("size")).when(F.col("_bucket") > F.col("_edge"), F.lit(0)).otherwise(F.round(F.col("size") * F.col("_part"))).cast("long")
     return out.select(
         "doc_id",
         *keep,
