@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 
@@ -23,11 +24,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, release: bool = False) -> DataFrame:
     """Compute ``df`` once and keep it in the shared checkpoint folder: later
-    steps read it from there, whatever executor is lost."""
+    steps read it from there, whatever executor is lost.  ``release``: have the
+    driver notice that nothing needs the shuffles behind it any more."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if release:
+        del df
+        gc.collect()
+        out.sparkSession.sparkContext._jvm.System.gc()
+    return out
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

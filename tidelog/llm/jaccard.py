@@ -15,11 +15,13 @@ Empty signatures are left out where a set has no more of them (or of groups with
 one) than ``spare``: then one of the equal ones is not empty.  So linked sets
 always share a signature, and sets without a common feature almost never do.
 
-Sets that share a signature are compared exactly.  First every bucket's members
-with one hub, in two rounds with different hubs; then, in buckets that still
-hold more than one component, all pairs of different components that sizes and
-256-bit parity sketches (a lower bound of the sets' difference) don't rule out.
-No pair inside a component is needed any more, so copies are never paired off.
+Buckets of signatures with the same members count as one.  Sets that share one
+are compared exactly: first each with the hub (least member) that it shares most
+signatures with; then with its other hubs, where they are in other components;
+then, in buckets that still hold more than one component, all pairs of different
+components that sizes and 1024-bit parity sketches (a lower bound of the sets'
+difference) don't rule out.  No pair inside a component is needed any more, so
+copies are never paired off.
 
 Defined cases: a null or empty text, or one without words, has an empty set and
 is linked with nothing; a text of fewer than K words has its whole sequence as
@@ -40,7 +42,11 @@ from .text import LOWER, WHITE, buffer_of, distinct, doc_of, hash_spans, mix, sh
 
 K = 5
 SMALL_K = 12
-STAR_SEEDS = (0, 0x5851F42D4C957F2D)
+SKETCH = 16
+OPEN_RUN = 1 << 16
+SEEN = 200_000
+_SKETCH = [f"s{i}" for i in range(SKETCH)]
+_INFO = "doc long, n long, h1 long, h2 long, " + ", ".join(f"{c} long" for c in _SKETCH)
 
 
 def _bands() -> tuple[np.ndarray, np.ndarray]:
@@ -71,7 +77,7 @@ def sets_of(buf: np.ndarray, off: np.ndarray, k: int = K) -> tuple[np.ndarray, n
 
 
 def digests(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Two hashes of each set and its parity sketch, as (documents, 4) integers."""
+    """Two hashes of each set and its parity sketch, as (documents, SKETCH) integers."""
     n = len(first) - 1
     doc = doc_of(first)
     one, two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
@@ -80,8 +86,9 @@ def digests(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
     if len(full):
         one[full] = np.add.reduceat(a, first[full])
         two[full] = np.add.reduceat(b, first[full])
-    odd = np.bincount(doc * 256 + (a >> np.uint64(56)).astype(np.int64), minlength=n * 256) & 1
-    sketch = np.packbits(odd.reshape(n, 256).astype(np.uint8), axis=1).view(">i8").astype(np.int64)
+    bits = 64 * SKETCH
+    odd = np.bincount(doc * bits + (a % np.uint64(bits)).astype(np.int64), minlength=n * bits) & 1
+    sketch = np.packbits(odd.reshape(n, bits).astype(np.uint8), axis=1).view(">i8").astype(np.int64)
     return one.view(np.int64), two.view(np.int64), sketch
 
 
@@ -142,8 +149,8 @@ def _info(batches):
             value, first = sets_of(buf[off[lo] : off[hi]], off[lo : hi + 1] - off[lo])
             one, two, sketch = digests(value, first)
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(lo, hi - lo), pa.array(np.diff(first)), pa.array(one), pa.array(two)] + [pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(4)],
-                names=["doc", "n", "h1", "h2", "s0", "s1", "s2", "s3"],
+                [ids.slice(lo, hi - lo), pa.array(np.diff(first)), pa.array(one), pa.array(two)] + [pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH)],
+                names=["doc", "n", "h1", "h2", *_SKETCH],
             )
 
 
@@ -168,37 +175,70 @@ def _signature_rows(batches):
 
 
 def _shared_runs(batches):
-    """Of a stream sorted by (sig, doc): the rows of signatures with several
-    documents, without repeats, and the first of them as hub."""
-    last = None  # (sig, hub, doc, whether its first row is out)
+    """Of a stream sorted by (sig, doc): the members of signatures that several
+    documents have, by a hash of the members, and the first of them as hub.  Buckets
+    of the same members are one as far as SEEN reaches back; a bucket of more than
+    OPEN_RUN members goes on in parts under its own signature."""
+    seen: set[int] = set()
+    left_sig, left_doc = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    open_sig, open_hub, open_doc = None, 0, 0
+
+    def rows(key, doc, hub):
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (key, doc, hub)], names=["sig", "doc", "hub"])
+
+    def closed(sig, doc):
+        """Rows of whole runs."""
+        new = np.ones(len(sig), bool)
+        new[1:] = (sig[1:] != sig[:-1]) | (doc[1:] != doc[:-1])
+        sig, doc = sig[new], doc[new]
+        head = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
+        size = np.diff(np.r_[head, len(sig)])
+        key = mix(np.add.reduceat(mix(doc.view(np.uint64)), head)).view(np.int64)
+        take = size > 1
+        for i in np.flatnonzero(take):
+            k = int(key[i])
+            if k in seen:
+                take[i] = False
+            else:
+                seen.add(k)
+        pick = np.repeat(take, size)
+        return np.repeat(key, size)[pick], doc[pick], np.repeat(doc[head], size)[pick]
+
     for batch in batches:
-        sig, doc = (batch.column(i).to_numpy() for i in range(2))
+        sig = np.concatenate([left_sig, batch.column(0).to_numpy()])
+        doc = np.concatenate([left_doc, batch.column(1).to_numpy()])
         if not len(sig):
             continue
-        start = np.ones(len(sig), bool)
-        start[1:] = sig[1:] != sig[:-1]
-        repeat = np.zeros(len(sig), bool)
-        repeat[1:] = ~start[1:] & (doc[1:] == doc[:-1])
-        goes_on = last is not None and sig[0] == last[0]
-        if goes_on:
-            start[0], repeat[0] = False, doc[0] == last[2]
-        run = np.cumsum(start) - (1 if start[0] else 0)
-        heads = np.flatnonzero(start)
-        hub = np.empty(int(run[-1]) + 1, np.int64)
-        hub[run[heads]] = doc[heads]
-        if goes_on:
-            hub[0] = last[1]
-        follows = ~start & ~repeat
-        several = np.zeros(len(hub), bool)
-        several[run[follows]] = True
-        out = follows | start & several[run]
-        o_sig, o_doc, o_hub = sig[out], doc[out], hub[run[out]]
-        if goes_on and several[0] and not last[3]:
-            o_sig, o_doc, o_hub = np.r_[last[0], o_sig], np.r_[last[1], o_doc], np.r_[last[1], o_hub]
-        end = int(run[-1])
-        last = (sig[-1], hub[end], doc[-1], bool(several[end]) or goes_on and end == 0 and last[3])
-        if len(o_sig):
-            yield pa.RecordBatch.from_arrays([pa.array(o_sig), pa.array(o_doc), pa.array(o_hub)], names=["sig", "doc", "hub"])
+        if open_sig is not None:
+            n = int(np.searchsorted(sig != open_sig, True)) if sig[0] == open_sig else 0
+            n = len(sig) if sig[0] == open_sig and (sig == open_sig).all() else n
+            if n:
+                fresh = doc[:n][np.r_[doc[0] != open_doc, doc[1:n] != doc[: n - 1]]]
+                open_doc = int(doc[n - 1])
+                if len(fresh):
+                    yield rows(np.full(len(fresh), open_sig), fresh, np.full(len(fresh), open_hub))
+                sig, doc = sig[n:], doc[n:]
+            if len(sig):
+                open_sig = None
+            else:
+                left_sig, left_doc = sig, doc
+                continue
+        last = int(np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])[-1])
+        if last:
+            yield rows(*closed(sig[:last], doc[:last]))
+        left_sig, left_doc = sig[last:], doc[last:]
+        if len(left_sig) > OPEN_RUN:
+            whole = np.unique(left_doc)
+            open_sig, open_hub, open_doc = int(left_sig[0]), int(whole[0]), int(whole[-1])
+            if len(whole) > 1:
+                yield rows(np.full(len(whole), open_sig), whole, np.full(len(whole), open_hub))
+                left_sig, left_doc = left_sig[:0], left_doc[:0]
+            else:
+                left_sig, left_doc, open_sig = left_sig[:1], left_doc[:1], None
+        if len(seen) > SEEN:
+            seen.clear()
+    if len(left_sig):
+        yield rows(*closed(left_sig, left_doc))
 
 
 def _sets(bits: IdBits):
@@ -211,12 +251,19 @@ def _sets(bits: IdBits):
             ids, (buf, off) = part.column(0), buffer_of(part.column(1))
             for lo, hi in slices(off):
                 value, first = sets_of(buf[off[lo] : off[hi]], off[lo : hi + 1] - off[lo])
-                raw = [value[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
+                short = value.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5]  # 40 bits tell the features of two sets apart
+                raw = [short[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
                 yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(raw, pa.binary())], names=["node", "features"])
 
     return run
 
 
+def _features(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 5, 8), np.uint8)
+    out[:, 3:] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
+    return out.view(">u8").reshape(-1).astype(np.uint64)
+
+
 def _compare(batches):
     hub, held = None, None
     for batch in batches:
@@ -225,9 +272,9 @@ def _compare(batches):
         cols = [batch.column(names.index(c)) for c in ("_hub", "_kind", "_value", "doc", "features")]
         for h, kind, value, doc, features in zip(cols[0].to_pylist(), cols[1].to_pylist(), cols[2], cols[3].to_pylist(), cols[4]):
             if kind == 0:
-                hub, held = h, np.frombuffer(value.as_py(), np.uint64)
+                hub, held = h, _features(value.as_py())
                 continue
-            x = np.frombuffer(features.as_py(), np.uint64)
+            x = _features(features.as_py())
             if h != hub or not len(x) or not len(held):
                 continue
             at = np.searchsorted(held, x)
@@ -246,16 +293,17 @@ class Join:
     def __init__(self, df: DataFrame):
         rows = df.select(F.col("doc_id").cast("long").alias("doc"), text_or_empty().alias("text")).where("doc IS NOT NULL")
         self.rows = rows
-        self.info = cut(rows.mapInArrow(_info, "doc long, n long, h1 long, h2 long, s0 long, s1 long, s2 long, s3 long"))
+        self.info = cut(rows.mapInArrow(_info, _INFO))
         same = self.info.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc").alias("a"), F.max("doc").alias("_z")).where("a <> _z")
         full = self.info.where("n > 0")
         self.equal = cut(full.join(same.select("a", "h1", "h2", "n"), ["h1", "h2", "n"]).select("a", F.col("doc").alias("b")).where("a <> b").distinct())
         found = rows.mapInArrow(_signature_rows, "sig long, doc long")
-        self.shared = cut(found.repartition("sig").sortWithinPartitions("sig", "doc").mapInArrow(_shared_runs, "sig long, doc long, hub long"))
+        runs = found.repartition("sig").sortWithinPartitions("sig", "doc").mapInArrow(_shared_runs, "sig long, doc long, hub long")
+        self.shared = cut(runs.groupBy("sig", "doc", "hub").agg(F.count("*").alias("weight")), release=True)
 
     def plausible(self, pairs: DataFrame) -> DataFrame:
         """(a, b) pairs, a < b, without those that sizes or sketches rule out."""
-        cols = ["n", "s0", "s1", "s2", "s3"]
+        cols = ["n", *_SKETCH]
         one = self.info.groupBy("doc").agg(*[F.min(c).alias(c) for c in cols])
         x = one.select(F.col("doc").alias("a"), *[F.col(c).alias(f"x_{c}") for c in cols])
         y = one.select(F.col("doc").alias("b"), *[F.col(c).alias(f"y_{c}") for c in cols])
@@ -265,14 +313,13 @@ class Join:
         """(a, b, both, either) of pairs: sizes of the sets' intersection and union."""
         pairs = cut(pairs)
         bits = IdBits(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-        content = self.rows.select("doc", "text", F.xxhash64("doc").alias("_x")).mapInArrow(_sets(bits), "node long, features binary").dropDuplicates(["node", "features"])
-        content = cut(content)
+        content = self.rows.select("doc", "text", F.xxhash64("doc").alias("_x")).mapInArrow(_sets(bits), "node long, features binary")
         rows = pairs.join(content.withColumnRenamed("node", "b"), "b").select("a", F.col("b").alias("doc"), "features")
-        return cut(meet_at_hubs(rows, "a", content, "node", "features", _compare, "a long, b long, both long, either long"))
+        return cut(meet_at_hubs(rows, "a", pairs, content, "node", "features", _compare, "a long, b long, both long, either long"), release=True)
 
 
 def _may_link(c):
-    odd = sum((F.bit_count(c(f"x_s{i}").bitwiseXOR(c(f"y_s{i}"))) for i in range(1, 4)), F.bit_count(c("x_s0").bitwiseXOR(c("y_s0"))))
+    odd = sum((F.bit_count(c(f"x_s{i}").bitwiseXOR(c(f"y_s{i}"))) for i in range(1, SKETCH)), F.bit_count(c("x_s0").bitwiseXOR(c("y_s0"))))
     return (c("x_n") * 5 >= c("y_n") * 4) & (c("y_n") * 5 >= c("x_n") * 4) & (odd * 9 <= c("x_n") + c("y_n"))
 
 
@@ -280,22 +327,19 @@ def jaccard_links(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(info, links, components): verified (a, b) links, equal sets included, that
     join all linked documents, and (node, component) of all that are linked."""
     j = Join(df)
-    links, done, comp = j.equal, None, None
-    members = j.shared
-    for seed in STAR_SEEDS:
-        if comp is not None:
-            members = _mixed(j.shared, comp)
-            hubs = members.groupBy("sig").agg(F.min_by(F.struct("doc", "comp"), F.xxhash64("doc", F.lit(seed))).alias("_hub"))
-            members = members.join(hubs, "sig").where("comp <> _hub.comp").select("doc", F.col("_hub.doc").alias("hub"))
-        pairs = members.where("doc <> hub").select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        got = j.verify(j.plausible(pairs))
-        done = got.select("a", "b") if done is None else cut(done.union(got.select("a", "b")))
-        links = links.union(got.where("100 * both >= 80 * either").select("a", "b"))
-        comp = components(links)
+    star = j.shared.where("doc <> hub").groupBy("doc", "hub").agg(F.sum("weight").alias("weight"))
+    star = cut(star.select(F.col("hub").alias("a"), F.col("doc").alias("b"), "weight"))  # the hub is the least
+    best = star.groupBy("b").agg(F.max_by("a", F.struct("weight", -F.col("a"))).alias("a")).select("a", "b")
+    done = j.verify(j.plausible(best))
+    links = j.equal.union(done.where("100 * both >= 80 * either").select("a", "b"))
+    comp = components(links)
+    others = _apart(star.select("a", "b"), comp).join(done.select("a", "b"), ["a", "b"], "left_anti")
+    got = j.verify(j.plausible(others))
+    links = links.union(got.where("100 * both >= 80 * either").select("a", "b"))
+    done = cut(done.union(got).select("a", "b"))
+    comp = components(links)
     rest = cut(_mixed(j.shared, comp))
-    cols = ["n", "s0", "s1", "s2", "s3"]
+    cols = ["n", *_SKETCH]
     one = j.info.groupBy("doc").agg(*[F.min(c).alias(c) for c in cols])
     rest = cut(rest.join(one, "doc"))
     x = rest.select("sig", F.col("doc").alias("a"), F.col("comp").alias("x_comp"), *[F.col(c).alias(f"x_{c}") for c in cols])
@@ -310,6 +354,14 @@ def jaccard_links(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return j.info, links, comp
 
 
+def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """(a, b) pairs of different components."""
+    x = comp.select(F.col("node").alias("a"), F.col("component").alias("_x"))
+    y = comp.select(F.col("node").alias("b"), F.col("component").alias("_y"))
+    both = pairs.join(x, "a", "left").join(y, "b", "left")
+    return both.where(F.coalesce("_x", "a") != F.coalesce("_y", "b")).select("a", "b")
+
+
 def _mixed(shared: DataFrame, comp: DataFrame) -> DataFrame:
     """(sig, doc, comp) of signatures whose documents are in several components."""
     c = comp.withColumnRenamed("node", "_n")
@@ -322,7 +374,7 @@ def jaccard_components(df: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     info, _, comp = jaccard_links(df)
     known = info.join(comp, info["doc"] == comp["node"], "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
-    lost = df.where("doc_id IS NULL").select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(_info, "doc long, n long, h1 long, h2 long, s0 long, s1 long, s2 long, s3 long")
+    lost = df.where("doc_id IS NULL").select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(_info, _INFO)
     return known.unionByName(lost.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id")))
 
 

@@ -70,16 +70,16 @@ class IdBits:
         return (self.words[bit >> 6] >> (bit & 63)) & 1 == 1
 
 
-def meet_at_hubs(rows: DataFrame, hub: str, content: DataFrame, key: str, value: str, run, schema: str) -> DataFrame:
+def meet_at_hubs(rows: DataFrame, hub: str, pairs: DataFrame, content: DataFrame, key: str, value: str, run, schema: str) -> DataFrame:
     """Streams ``rows`` (with a column ``hub``) past ``value`` of the row of
-    ``content`` whose ``key`` is their hub.
+    ``content`` whose ``key`` is their hub.  ``pairs`` has the hubs of ``rows``, for counting.
 
     ``run(batches)`` gets Arrow batches in order of hub and group; their first
     columns are _hub, _salt, _kind and _value: a row of kind 0 brings the hub's
     value, rows of kind 1 that follow have it null and the columns of ``rows``.
     """
     names = [c for c in rows.columns if c != hub]
-    degree = rows.groupBy(F.col(hub).alias("_hub")).agg(F.ceil(F.count("*") / HUB_ROWS).cast("int").alias("_groups"))
+    degree = pairs.groupBy(F.col(hub).alias("_hub")).agg(F.ceil(F.count("*") / HUB_ROWS).cast("int").alias("_groups"))
     degree = cut(degree)
     d = degree.withColumnRenamed("_hub", "_h")
     held = content.join(d, content[key] == d["_h"]).select(
