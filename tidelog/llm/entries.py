@@ -26,4 +26,25 @@ QUERIES = {
     "op10_jaccard_join": op10_jaccard_join,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_jaccard_join": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w] ELSE list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) END) AS s FROM words
+), ids AS MATERIALIZED (
+  SELECT doc_id, hash(s) AS s FROM shingles
+), sizes AS MATERIALIZED (
+  SELECT doc_id, count(*) AS n FROM ids GROUP BY doc_id
+), links AS MATERIALIZED (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM ids x JOIN ids y ON x.s = y.s AND x.doc_id < y.doc_id
+  JOIN sizes p ON p.doc_id = x.doc_id JOIN sizes q ON q.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))
+), edges AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(node, other) AS (
+  SELECT doc_id, doc_id FROM words UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.other = e.a
+)
+SELECT w.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, r.component_id FROM (SELECT DISTINCT doc_id FROM words) w
+LEFT JOIN sizes s USING (doc_id) JOIN (SELECT node AS doc_id, min(other) AS component_id FROM reach GROUP BY node) r USING (doc_id)
+""",
+}

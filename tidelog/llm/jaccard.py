@@ -20,7 +20,7 @@ are compared exactly: first each with the hub (least member) that it shares most
 signatures with; then with its other hubs, where they are in other components;
 then, in buckets that still hold more than one component, all pairs of different
 components that sizes and 1024-bit parity sketches (a lower bound of the sets'
-difference) don't rule out.  No pair inside a component is needed any more, so
+difference; large sets have longer ones, too) don't rule out.  No pair inside a component is needed any more, so
 copies are never paired off.
 
 Defined cases: a null or empty text, or one without words, has an empty set and
@@ -32,6 +32,7 @@ is in no link and has component null; an empty table gives an empty result.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,10 +44,13 @@ from .text import LOWER, WHITE, buffer_of, distinct, doc_of, hash_spans, mix, sh
 K = 5
 SMALL_K = 12
 SKETCH = 16
+#: Sets of more features have a second sketch of 2 to 4 bits a feature.
+WIDE_FROM = 512
+_VERIFIED = "a long, b long, both long, either long"
 OPEN_RUN = 1 << 16
 SEEN = 200_000
 _SKETCH = [f"s{i}" for i in range(SKETCH)]
-_INFO = "doc long, n long, h1 long, h2 long, " + ", ".join(f"{c} long" for c in _SKETCH)
+_INFO = "doc long, n long, h1 long, h2 long, " + ", ".join(f"{c} long" for c in _SKETCH) + ", wide binary"
 
 
 def _bands() -> tuple[np.ndarray, np.ndarray]:
@@ -72,8 +76,7 @@ def sets_of(buf: np.ndarray, off: np.ndarray, k: int = K) -> tuple[np.ndarray, n
     low = LOWER[buf]
     starts, ends, first = spans(low, off, ~WHITE)
     s, s_first = shingles(hash_spans(low, starts, ends), first, k)
-    doc, value = distinct(doc_of(s_first), s)
-    return value, np.searchsorted(doc, np.arange(len(off)))
+    return distinct(s_first, s)
 
 
 def digests(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,6 +95,30 @@ def digests(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return one.view(np.int64), two.view(np.int64), sketch
 
 
+def wide_sketches(value: np.ndarray, first: np.ndarray) -> list[bytes | None]:
+    """Parity sketches of large sets, with a power of two of bits; None of small ones."""
+    size = np.diff(first)
+    bits = np.where(size > WIDE_FROM, 1 << np.ceil(np.log2(np.maximum(size, 1) * 2)).astype(np.int64), 0)
+    base = np.concatenate([[0], np.cumsum(bits)])
+    doc = doc_of(first)
+    large = bits[doc] > 0
+    d, a = doc[large], mix(value[large] ^ np.uint64(0x2545F4914F6CDD1D))
+    odd = np.bincount(base[d] + (a & (bits[d] - 1).astype(np.uint64)).astype(np.int64), minlength=int(base[-1])) & 1
+    packed = np.packbits(odd.astype(np.uint8))
+    return [packed[x // 8 : y // 8].tobytes() if y > x else None for x, y in zip(base[:-1].tolist(), base[1:].tolist())]
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """A lower bound of the difference of two sets from their wide sketches; the longer
+    one is folded to the length of the other."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def signatures(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(signature, document) of every signature of every set."""
     size = np.diff(first)
@@ -149,8 +176,8 @@ def _info(batches):
             value, first = sets_of(buf[off[lo] : off[hi]], off[lo : hi + 1] - off[lo])
             one, two, sketch = digests(value, first)
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(lo, hi - lo), pa.array(np.diff(first)), pa.array(one), pa.array(two)] + [pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH)],
-                names=["doc", "n", "h1", "h2", *_SKETCH],
+                [ids.slice(lo, hi - lo), pa.array(np.diff(first)), pa.array(one), pa.array(two)] + [pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH)] + [pa.array(wide_sketches(value, first), pa.binary())],
+                names=["doc", "n", "h1", "h2", *_SKETCH, "wide"],
             )
 
 
@@ -183,8 +210,8 @@ def _shared_runs(batches):
     left_sig, left_doc = np.zeros(0, np.int64), np.zeros(0, np.int64)
     open_sig, open_hub, open_doc = None, 0, 0
 
-    def rows(key, doc, hub):
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (key, doc, hub)], names=["sig", "doc", "hub"])
+    def rows(key, doc, hub, size):
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (key, doc, hub, size)], names=["sig", "doc", "hub", "size"])
 
     def closed(sig, doc):
         """Rows of whole runs."""
@@ -202,7 +229,7 @@ def _shared_runs(batches):
             else:
                 seen.add(k)
         pick = np.repeat(take, size)
-        return np.repeat(key, size)[pick], doc[pick], np.repeat(doc[head], size)[pick]
+        return np.repeat(key, size)[pick], doc[pick], np.repeat(doc[head], size)[pick], np.repeat(size, size)[pick]
 
     for batch in batches:
         sig = np.concatenate([left_sig, batch.column(0).to_numpy()])
@@ -216,7 +243,7 @@ def _shared_runs(batches):
                 fresh = doc[:n][np.r_[doc[0] != open_doc, doc[1:n] != doc[: n - 1]]]
                 open_doc = int(doc[n - 1])
                 if len(fresh):
-                    yield rows(np.full(len(fresh), open_sig), fresh, np.full(len(fresh), open_hub))
+                    yield rows(np.full(len(fresh), open_sig), fresh, np.full(len(fresh), open_hub), np.full(len(fresh), OPEN_RUN))
                 sig, doc = sig[n:], doc[n:]
             if len(sig):
                 open_sig = None
@@ -231,7 +258,7 @@ def _shared_runs(batches):
             whole = np.unique(left_doc)
             open_sig, open_hub, open_doc = int(left_sig[0]), int(whole[0]), int(whole[-1])
             if len(whole) > 1:
-                yield rows(np.full(len(whole), open_sig), whole, np.full(len(whole), open_hub))
+                yield rows(np.full(len(whole), open_sig), whole, np.full(len(whole), open_hub), np.full(len(whole), OPEN_RUN))
                 left_sig, left_doc = left_sig[:0], left_doc[:0]
             else:
                 left_sig, left_doc, open_sig = left_sig[:1], left_doc[:1], None
@@ -298,8 +325,8 @@ class Join:
         full = self.info.where("n > 0")
         self.equal = cut(full.join(same.select("a", "h1", "h2", "n"), ["h1", "h2", "n"]).select("a", F.col("doc").alias("b")).where("a <> b").distinct())
         found = rows.mapInArrow(_signature_rows, "sig long, doc long")
-        runs = found.repartition("sig").sortWithinPartitions("sig", "doc").mapInArrow(_shared_runs, "sig long, doc long, hub long")
-        self.shared = cut(runs.groupBy("sig", "doc", "hub").agg(F.count("*").alias("weight")), release=True)
+        runs = found.repartition("sig").sortWithinPartitions("sig", "doc").mapInArrow(_shared_runs, "sig long, doc long, hub long, size long")
+        self.shared = cut(runs.groupBy("sig", "doc", "hub", "size").agg(F.count("*").alias("weight")), release=True)
 
     def plausible(self, pairs: DataFrame) -> DataFrame:
         """(a, b) pairs, a < b, without those that sizes or sketches rule out."""
@@ -309,13 +336,29 @@ class Join:
         y = one.select(F.col("doc").alias("b"), *[F.col(c).alias(f"y_{c}") for c in cols])
         return pairs.join(x, "a").join(y, "b").where(_may_link(F.col)).select("a", "b")
 
+    def sifted(self, pairs: DataFrame) -> DataFrame:
+        """Pairs without those of large sets that the wide sketches rule out."""
+        wide = self.info.where("wide IS NOT NULL").groupBy("doc").agg(F.min(F.struct("n", "wide")).alias("w"))
+        x = wide.select(F.col("doc").alias("a"), F.col("w").alias("x"))
+        y = wide.select(F.col("doc").alias("b"), F.col("w").alias("y"))
+
+        @F.pandas_udf("long")
+        def difference(one: pd.Series, two: pd.Series) -> pd.Series:
+            return pd.Series([0 if p is None or q is None else least_difference(p, q) for p, q in zip(one, two)], dtype="int64")
+
+        both = pairs.join(x, "a", "left").join(y, "b", "left")
+        far = F.coalesce(difference("x.wide", "y.wide") * 9 > F.col("x.n") + F.col("y.n"), F.lit(False))
+        return both.where(~far).select("a", "b")
+
     def verify(self, pairs: DataFrame) -> DataFrame:
         """(a, b, both, either) of pairs: sizes of the sets' intersection and union."""
-        pairs = cut(pairs)
+        pairs = cut(self.sifted(pairs))
+        if pairs.isEmpty():
+            return self.rows.sparkSession.createDataFrame([], _VERIFIED)
         bits = IdBits(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
         content = self.rows.select("doc", "text", F.xxhash64("doc").alias("_x")).mapInArrow(_sets(bits), "node long, features binary")
         rows = pairs.join(content.withColumnRenamed("node", "b"), "b").select("a", F.col("b").alias("doc"), "features")
-        return cut(meet_at_hubs(rows, "a", pairs, content, "node", "features", _compare, "a long, b long, both long, either long"), release=True)
+        return cut(meet_at_hubs(rows, "a", pairs, content, "node", "features", _compare, _VERIFIED), release=True)
 
 
 def _may_link(c):
@@ -331,14 +374,14 @@ def jaccard_links(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     star = cut(star.select(F.col("hub").alias("a"), F.col("doc").alias("b"), "weight"))  # the hub is the least
     best = star.groupBy("b").agg(F.max_by("a", F.struct("weight", -F.col("a"))).alias("a")).select("a", "b")
     done = j.verify(j.plausible(best))
-    links = j.equal.union(done.where("100 * both >= 80 * either").select("a", "b"))
+    links = cut(j.equal.union(done.where("100 * both >= 80 * either").select("a", "b")))
     comp = components(links)
     others = _apart(star.select("a", "b"), comp).join(done.select("a", "b"), ["a", "b"], "left_anti")
     got = j.verify(j.plausible(others))
-    links = links.union(got.where("100 * both >= 80 * either").select("a", "b"))
+    links = cut(links.union(got.where("100 * both >= 80 * either").select("a", "b")))
     done = cut(done.union(got).select("a", "b"))
     comp = components(links)
-    rest = cut(_mixed(j.shared, comp))
+    rest = cut(_mixed(j.shared.where("size > 2"), comp))  # of two members, one is the hub
     cols = ["n", *_SKETCH]
     one = j.info.groupBy("doc").agg(*[F.min(c).alias(c) for c in cols])
     rest = cut(rest.join(one, "doc"))

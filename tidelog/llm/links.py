@@ -23,7 +23,7 @@ from .text import mix
 
 BITS = 24
 HUB_ROWS = 256
-JUMPS = 3
+JUMPS = 2
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -35,10 +35,9 @@ def components(edges: DataFrame) -> DataFrame:
         both = todo.select(F.col("a").alias("node"), F.col("b").alias("other")).union(todo.select("b", "a"))
         point = both.groupBy("node").agg(F.min("other").alias("to"))
         point = cut(point.select("node", F.least("node", "to").alias("to")))
-        for _ in range(JUMPS):
+        for _ in range(JUMPS):  # each doubles how far a pointer goes
             ahead = point.select(F.col("node").alias("_n"), F.col("to").alias("_t"))
-            point = point.join(ahead, point["to"] == ahead["_n"], "left").select("node", F.coalesce("_t", "to").alias("to"))
-        point = cut(point)
+            point = cut(point.join(ahead, point["to"] == ahead["_n"], "left").select("node", F.coalesce("_t", "to").alias("to")))
         if mapping is None:
             mapping = point
         else:
@@ -60,9 +59,9 @@ class IdBits:
         name = ids.columns[0]
         bit = F.pmod(F.xxhash64(F.col(name)), F.lit(1 << BITS))
         words = ids.select(F.shiftright(bit, 6).alias("w"), F.expr(f"shiftleft(1L, CAST(pmod(xxhash64({name}), 64) AS INT))").alias("v"))
-        got = words.groupBy("w").agg(F.bit_or("v").alias("v")).toPandas()
+        got = words.groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()
         self.words = np.zeros((1 << BITS) // 64, np.int64)
-        self.words[got["w"].to_numpy(dtype=np.int64)] = got["v"].to_numpy(dtype=np.int64)
+        self.words[got["w"].to_numpy()] = got["v"].to_numpy()
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
         """Which ids may be there, from their xxhash64."""

@@ -138,10 +138,15 @@ def shingles(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray,
     return mix(acc), out_first
 
 
-def distinct(doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (doc, value) pairs, sorted by doc and value; doc must be sorted."""
-    order = np.lexsort((value, doc))
-    d, v = doc[order], value[order]
-    keep = np.ones(len(d), bool)
-    keep[1:] = (d[1:] != d[:-1]) | (v[1:] != v[:-1])
-    return d[keep], v[keep]
+def distinct(first: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each document's distinct values, sorted, and each document's first one."""
+    v = value.copy()
+    bounds = first.tolist()
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        if b - a > 1:
+            v[a:b].sort()
+    keep = np.ones(len(v), bool)
+    keep[1:] = v[1:] != v[:-1]
+    head = first[:-1][np.diff(first) > 0]
+    keep[head] = True
+    return v[keep], np.concatenate([[0], np.cumsum(keep)])[first]
