@@ -6,7 +6,7 @@ import gc
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -49,5 +49,12 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def computed_once(c: Column) -> Column:
+    """``c``, kept from being copied into filters above it: the optimizer moves a filter
+    below a projection by putting the whole expression into it, which for chains of
+    large expressions multiplies them."""
+    return F.when(F.monotonically_increasing_id() >= 0, c)
+
+
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, documents, text_or_empty
+from .common import computed_once, documents, text_or_empty
 
 K = 3
 TUPLE = 2
@@ -92,7 +92,7 @@ def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K) -> DataFram
         return F.when(head, (bucket(x) * 65536 + code.bitwiseAND(F.lit(65535))).cast("int"))
 
     signature = F.filter(F.transform("_p", entry), lambda x: x.isNotNull())
-    return step6.withColumn(out, signature).drop("_u", "_s", "_r", "_f", "_e", "_p")
+    return step6.withColumn(out, computed_once(signature)).drop("_u", "_s", "_r", "_f", "_e", "_p")
 
 
 def fingerprint_text(sig: Column) -> Column:
