@@ -34,6 +34,8 @@ SPECIAL = "<|endoftext|>"
 _TABLE_BITS = 20
 _NONE = 65535
 _CACHE_ROWS = 400_000
+#: Pretokens of more bytes are counted one by one.
+LONG = 40
 
 
 def byte_chars() -> dict[str, int]:
@@ -60,6 +62,8 @@ class Vocabulary:
             a, b = (bytes(chars[c] for c in x) for x in (pair if isinstance(pair, list) else pair.split(" ")))
             self.merge[raw[a], raw[b]] = (rank, raw[a + b])
         self.longest = max(map(len, raw))
+        self._lengths = sorted({len(t) for t in raw}, reverse=True)
+        self._follows: dict[tuple[int, int], bool] = {}
         self._build_table()
         self._pairs = np.zeros(0, np.int64)
         self._valid = np.zeros(0, bool)
@@ -128,11 +132,14 @@ class Vocabulary:
         out = np.zeros(int(off[-1]), np.int32)
         if not n:
             return out, off
+        for i in np.flatnonzero(lens > LONG):
+            out[off[i] : off[i + 1]] = self._long_counts(items[i])
         data = np.frombuffer(b"".join(items), np.uint8)
         order = np.argsort(-lens, kind="stable")
+        order = order[lens[order] <= LONG]
         start, size = off[:-1][order], lens[order]
         last = np.full(len(out), _NONE, np.int64)
-        top = int(size[0])
+        top = int(size[0]) if len(size) else 0
         for j in range(1, top + 1):
             act = int(np.searchsorted(-size, -j, "right"))
             todo = np.arange(act)
@@ -160,6 +167,32 @@ class Vocabulary:
         return out, off
 
 
+    def _long_counts(self, item: bytes) -> np.ndarray:
+        """The same recurrence for one long pretoken, byte by byte."""
+        n = len(item)
+        last, count = [_NONE] * (n + 1), [0] * (n + 1)
+        lengths, tokens, follows = self._lengths, self.tokens, self._follows
+        for j in range(1, n + 1):
+            for length in lengths:
+                if length > j:
+                    continue
+                t = tokens.get(item[j - length : j])
+                if t is None:
+                    continue
+                key = (last[j - length], t)
+                ok = follows.get(key)
+                if ok is None:
+                    a = key[0]
+                    ok = self.encode(self.bytes_of[t]) == [t] if a == _NONE else self.encode(self.bytes_of[a] + self.bytes_of[t]) == [a, t]
+                    follows[key] = ok
+                if ok:
+                    last[j], count[j] = t, count[j - length] + 1
+                    break
+            else:
+                raise ValueError("a byte has no token")
+        return np.array(count[1:], np.int32)
+
+
 def _hash_fixed(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     """hash_spans for spans of one length at any places."""
     from .text import _P, mix
