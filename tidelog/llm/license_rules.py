@@ -41,7 +41,8 @@ FAMILIES = [
     ("apache-1.1", "apache", "apache 1 1", r"apache (?:software )?licen[cs]e(?: version| v)? ?1 1"),
     ("apache-2.0", "apache", "apache 2 0", r"apache (?:software )?(?:public )?licen[cs]e(?: version| v)? ?2(?: 0)?"),
     ("apache", "apache", "apache", r"apache (?:software )?licen[cs]e"),
-    ("mit", "mit", "mit", r"(?:mit|expat|mit x11|x11 mit)(?: style)? licen[cs]e"),
+    ("mit", "mit", "mit", r"(?:mit|mit x11|x11 mit)(?: style)? licen[cs]e"),
+    ("mit", "expat", "expat", r"expat(?: style)? licen[cs]e"),
     ("mit-0", "mit", "mit 0", r"mit no attribution(?: licen[cs]e)?"),
     ("x11", "x11", "x11", r"x11 (?:consortium )?licen[cs]e"),
     ("isc", "isc", "isc", r"isc licen[cs]e"),
@@ -98,7 +99,7 @@ FAMILIES = [
     ("pddl-1.0", "public domain", "pddl 1 0", r"public domain dedication and licen[cs]e(?: version| v)?(?: 1 0)?"),
     ("ogl-uk-3.0", "open government", "ogl uk 3 0", r"open government licen[cs]e(?: version| v)?(?: 3 0)?"),
     ("cc0-1.0", "cc0", "cc0 1 0", r"cc0(?: 1 0)?(?: universal)?"),
-    ("openrail-m", "openrail", "openrail", r"(?:creativeml |bigscience )?open ?rail(?: m)?(?: licen[cs]e)?"),
+    ("openrail-m", "rail", "openrail", r"(?:creativeml |bigscience )?open ?rail(?: m)?(?: licen[cs]e)?"),
     ("llama-community", "llama", "llama 2|llama 3", r"llama [23](?: [0-9])? community licen[cs]e(?: agreement)?"),
 ]
 
@@ -197,5 +198,10 @@ def build() -> list[Rule]:
 
 RULES = build()
 
-#: Literals of which every rule's keyword contains one: a text without any of them has no detection.
-GATES = ["licen", "gnu", "affero", "lesser", "general public", "free documentation", "apache", " mit ", "x11", " isc ", "bsd", "mozilla", "eclipse", "common development", "common public", "public", "european union", "artistic", "zlib", "libpng", "boost", "business source", "elastic", "what the", "python", "ruby", " php ", "postgresql", "openssl", "open ", "ncsa", "universal permissive", "microsoft", "academic free", "educational", "mulan", "cc0", "llama", "openrail", "cc ", "creative", "permission", "associated documentation files", "to use copy modify", "redistributions", "endorse or promote", "all advertising materials", "you may not use this file", "free software foundation", "unencumbered software", "provided as is without", "proprietary", "unauthorized copying", "without", "no part of this", "trade secret", "rights reserved", "alle rechte", "tous droits", "todos los derechos", "copyright", "as is", "merchantability", "in no event", "commercial", "research"]
+#: Literals of which every match of a rule contains one: a text without any of them has no detection.
+GATES = [
+    "licen", " reserved ", " cc by ", " cc0 ", "openrail", "open rail", " creative commons ", "creativecommons", " copyright ", " permission ", " redistributions ", " endorse or ", " advertising materials ",
+    " bsd ", " mit no attribution ", " mulan psl", " boost org ", " gnu org ", " mozilla org ", " free software foundation ", " openssl ", " public domain ", " proprietary ", " unauthorized copying ",
+    " trade secret", " warrant", " merchantability ", " in no event ", " as is ", "commercial ", "use only ", "purposes only ", " no part of ", " associated documentation files ",
+    " alle rechte ", " tous droits ", " todos los derechos ", " software and ",
+]

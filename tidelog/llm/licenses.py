@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, text_or_empty
+from .common import computed_once, documents, text_or_empty
 from .license_rules import GATES, RULES, Rule
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -40,9 +40,8 @@ def lower_ascii(text: Column) -> Column:
 
 
 def word_form(text: Column) -> Column:
-    """Lower-cased words with one space before, between and after; a lone space without any."""
-    flat = F.regexp_replace(lower_ascii(text), SEPARATORS, " ")
-    return F.regexp_replace(F.concat(F.lit(" "), flat, F.lit(" ")), "^ {2,}| {2,}$", " ")
+    """Lower-cased words with one space before, between and after; two spaces without any."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(lower_ascii(text), SEPARATORS, " ")), F.lit(" "))
 
 
 def _spaces(c: Column) -> Column:
@@ -127,10 +126,10 @@ def license_scan(df: DataFrame, text: str = "text", rules: list[Rule] = RULES) -
     split = F.split(F.trim(words), " ")
     step2 = step1.withColumn("_split", F.when(phrases, split)).select(
         *kept,
-        F.when(F.octet_length(words) <= 1, F.lit(0)).otherwise(_spaces(words) - 1).cast("long").alias("n_words"),
+        F.when(F.octet_length(words) <= 2, F.lit(0)).otherwise(_spaces(words) - 1).cast("long").alias("n_words"),
         F.when(phrases, F.array(*[_places(words, F.col("_split"), p) for p in BASE])).otherwise(F.array(*[none] * len(BASE))).alias("_places"),
         F.when(
-            gate, F.flatten(F.transform(F.filter(_rule_table(rules), lambda r: F.contains(words, r["keyword"])), lambda r: _matches(words, r)))
+            computed_once(gate), F.flatten(F.transform(F.filter(_rule_table(rules), lambda r: F.contains(words, r["keyword"])), lambda r: _matches(words, r)))
         ).otherwise(F.array().cast(_SPAN)).alias("_found"),
     )
     step3 = step2.select(
