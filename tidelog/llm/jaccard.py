@@ -220,7 +220,7 @@ def _shared_runs(batches):
         sig, doc = sig[new], doc[new]
         head = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
         size = np.diff(np.r_[head, len(sig)])
-        key = mix(np.add.reduceat(mix(doc.view(np.uint64)), head)).view(np.int64)
+        key = mix(np.add.reduceat(mix(doc.view(np.uint64) ^ np.uint64(0x632BE59BD9B4E019)), head) + size.astype(np.uint64)).view(np.int64)  # mix(0) is 0
         take = size > 1
         for i in np.flatnonzero(take):
             k = int(key[i])
@@ -372,6 +372,8 @@ def jaccard_links(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     j = Join(df)
     star = j.shared.where("doc <> hub").groupBy("doc", "hub").agg(F.sum("weight").alias("weight"))
     star = cut(star.select(F.col("hub").alias("a"), F.col("doc").alias("b"), "weight"))  # the hub is the least
+    if star.isEmpty():
+        return j.info, j.equal, components(j.equal)
     best = star.groupBy("b").agg(F.max_by("a", F.struct("weight", -F.col("a"))).alias("a")).select("a", "b")
     done = j.verify(j.plausible(best))
     links = cut(j.equal.union(done.where("100 * both >= 80 * either").select("a", "b")))
