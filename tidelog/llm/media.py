@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, text_or_empty
-from .text import buffer_of
+from .text import buffer_of, give_back
 
 WIDTH = 64
 HASH_ROWS, HASH_COLS = 8, 9
@@ -184,6 +184,7 @@ _NAMES = [x.split()[0] for x in _SCHEMA.split(", ")]
 def media_rows(keep_media: bool, tile: int):
     def run(batches):
         for batch in batches:
+            give_back()
             buf, off = buffer_of(batch.column(1))
             ids = batch.column(0).to_pylist()
             out: list[list] = [[] for _ in range(len(_NAMES) + 2 * keep_media)]

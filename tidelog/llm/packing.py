@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from .bpe import SPECIAL, tokenizer, vocabulary
 from .common import cut, documents, text_or_empty
+from .text import give_back
 
 WINDOW = 2048
 END_ID = 1
@@ -71,6 +72,7 @@ def cut_pieces(df: DataFrame, path: str, window: int = WINDOW, keep_ids: bool =
     def run(batches):
         encode = encoder(path)
         for batch in batches:
+            give_back()
             out: list[list] = [[] for _ in names]
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids = np.append(encode(text.as_py()), np.uint32(END_ID)).astype("<u4")

@@ -25,10 +25,10 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import documents, text_or_empty
 from .text import LOWER, WHITE, buffer_of, hash_spans, slices, spans
@@ -43,7 +43,7 @@ FEATURES = 4 * DIM + 4
 HIDDEN = 32
 EPOCHS = 40
 SEED = 7
-SLICE = 2 << 20
+SLICE = 1 << 20
 FOLDS, HELD = 3, 1
 
 #: Byte classes of a shape: lower (and all beyond ASCII), upper, digit; signs are themselves.
@@ -226,16 +226,18 @@ def fit(df: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[np.ndar
     return vectors, Network().fit(x, table["_y"].to_numpy())
 
 
-def with_score(df: DataFrame, vectors: np.ndarray, network: Network, out: str = "score") -> DataFrame:
+def with_score(df: DataFrame, vectors: np.ndarray, network: Network, out: str = "score", text: str = "text") -> DataFrame:
     """``df`` with the probability of label 1 of every row's text."""
+    at, names = df.columns.index(text), [*df.columns, out]
 
-    @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
-        buf, off = buffer_of(pa.array(text, pa.large_string()))
-        parts = [network.score(features(buf[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], vectors)) for lo, hi in slices(off, SLICE)]
-        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+    def run(batches):
+        for batch in batches:
+            buf, off = buffer_of(batch.column(at))
+            parts = [network.score(features(buf[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], vectors)) for lo, hi in slices(off, SLICE)]
+            score = pa.array(np.concatenate(parts) if parts else np.zeros(0))
+            yield pa.RecordBatch.from_arrays([*batch.columns, score], names=names)
 
-    return df.withColumn(out, score(text_or_empty()))
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField(out, DoubleType())]))
 
 
 def classify(df: DataFrame, labels: DataFrame, **options) -> DataFrame:
