@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,11 +25,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+BATCH_ROWS = "2000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of whole texts hold fewer rows than Spark's default, on both sides
+    of the pipe; a setting of the session's own stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def cut(df: DataFrame, release: bool = False) -> DataFrame:
     """Compute ``df`` once and keep it in the shared checkpoint folder: later
     steps read it from there, whatever executor is lost.  ``release``: have the
     driver notice that nothing needs the shuffles behind it any more."""
     ensure_checkpoint_dir(df.sparkSession)
+    small_batches(df.sparkSession)
     out = df.checkpoint(eager=True)
     if release:
         del df
@@ -37,7 +50,17 @@ def cut(df: DataFrame, release: bool = False) -> DataFrame:
     return out
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared checkpoint folder and read again: as
+    ``cut``, and without the constraints that a checkpoint keeps, which iterations
+    would let grow without end."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

@@ -18,34 +18,35 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, written
 from .text import mix
 
 BITS = 24
 HUB_ROWS = 256
-JUMPS = 2
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of all nodes of (a, b) edges: the least node reachable."""
     spark = edges.sparkSession
-    todo = cut(edges.where("a <> b").select("a", "b").distinct())
+    todo = written(edges.where("a <> b").select("a", "b").distinct())
     mapping = None
     while not todo.isEmpty():
         both = todo.select(F.col("a").alias("node"), F.col("b").alias("other")).union(todo.select("b", "a"))
-        point = both.groupBy("node").agg(F.min("other").alias("to"))
-        point = cut(point.select("node", F.least("node", "to").alias("to")))
-        for _ in range(JUMPS):  # each doubles how far a pointer goes
+        point = both.groupBy("node").agg(F.min("other").alias("to")).select("node", F.least("node", "to").alias("to"))
+        point, moved = written(point), True
+        while moved:  # each jump doubles how far a pointer goes; at the end all point to roots
             ahead = point.select(F.col("node").alias("_n"), F.col("to").alias("_t"))
-            point = cut(point.join(ahead, point["to"] == ahead["_n"], "left").select("node", F.coalesce("_t", "to").alias("to")))
+            point = written(point.join(ahead, point["to"] == ahead["_n"], "left").select("node", F.coalesce("_t", "to").alias("to"), F.coalesce(F.col("_t") != F.col("to"), F.lit(False)).alias("moved")))
+            moved = not point.where("moved").isEmpty()
+            point = point.select("node", "to")
         if mapping is None:
             mapping = point
         else:
             step = point.select(F.col("node").alias("_n"), F.col("to").alias("_t"))
-            mapping = cut(mapping.join(step, mapping["to"] == step["_n"], "left").select("node", F.coalesce("_t", "to").alias("to")))
+            mapping = written(mapping.join(step, mapping["to"] == step["_n"], "left").select("node", F.coalesce("_t", "to").alias("to")))
         left = point.select(F.col("node").alias("a"), F.col("to").alias("a2"))
         right = point.select(F.col("node").alias("b"), F.col("to").alias("b2"))
-        todo = cut(todo.join(left, "a").join(right, "b").where("a2 <> b2").select(F.col("a2").alias("a"), F.col("b2").alias("b")).distinct())
+        todo = written(todo.join(left, "a").join(right, "b").where("a2 <> b2").select(F.col("a2").alias("a"), F.col("b2").alias("b")).distinct())
     if mapping is None:
         return spark.createDataFrame([], "node long, component long")
     return mapping.select("node", F.col("to").alias("component"))
