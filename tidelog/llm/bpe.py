@@ -46,6 +46,15 @@ def byte_chars() -> dict[str, int]:
     return out
 
 
+def tokens_of(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """Ids by token's bytes, and ids of special strings, of a tokenizer's JSON file."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    chars = byte_chars()
+    raw = {bytes(chars[c] for c in t): i for t, i in spec["model"]["vocab"].items() if all(c in chars for c in t)}
+    return raw, {t["content"]: t["id"] for t in spec["added_tokens"]}
+
+
 class Vocabulary:
     """Tokens as bytes, their ids and the order of merges, from a tokenizer's JSON file."""
 
@@ -53,8 +62,7 @@ class Vocabulary:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         chars = byte_chars()
-        raw = {bytes(chars[c] for c in t): i for t, i in spec["model"]["vocab"].items() if all(c in chars for c in t)}
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        raw, self.special = tokens_of(path)
         self.tokens = raw
         self.bytes_of = {i: t for t, i in raw.items()}
         self.merge: dict[tuple[int, int], tuple[int, int]] = {}

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import SPECIAL, tokenizer, vocabulary
+from .bpe import SPECIAL, tokenizer, tokens_of
 from .common import cut, documents, text_or_empty
 from .text import give_back
 
@@ -47,8 +47,8 @@ def encoder(path: str):
 
         import public_tokenizers
 
-        v = vocabulary(path)
-        _encodings[path] = tiktoken.Encoding("from_json", pat_str=public_tokenizers.PATTERN, mergeable_ranks=v.tokens, special_tokens=v.special)
+        ranks, special = tokens_of(path)
+        _encodings[path] = tiktoken.Encoding("from_json", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
     fast, special = _encodings[path], {SPECIAL}
 
     def encode(text: str) -> np.ndarray:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import documents, text_or_empty
+from .common import documents, small_batches, text_or_empty
 from .text import LOWER, WHITE, buffer_of, hash_spans, slices, spans
 
 DIM = 48
@@ -200,6 +200,7 @@ def held_out(doc_id) -> F.Column:
 
 def fit(df: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[np.ndarray, Network]:
     """Word vectors of all of ``df`` and the network of a bounded sample of its labelled rows."""
+    small_batches(df.sparkSession)
     vectors = unit_vectors(context_sums(df))
     sample = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
