@@ -333,6 +333,50 @@ def test_fuzzy_passages(spark):
     assert sum(" ".join(passage[50:60]) in t or len(set(passage) & set(t.split())) > 60 for t in less.values()) == 1
 
 
+def test_passages_that_repeat_words(spark):
+    """Passages of one word, or of one line of up to 16 words, over and over."""
+    rng = random.Random(21)
+    some = lambda n, tag: [f"{tag}{rng.randrange(10**6)}" for _ in range(n)]
+    rows, want = [], {}
+    for i, period in enumerate((1, 2, 7, 16)):
+        line = some(period, f"p{i}x")
+        for j, times in enumerate((80, 80, 200)):
+            body = (line * times)[:times]
+            before = some(30, "b")
+            rows.append((10 * i + j, " ".join(before + body + some(30, "a")), "en", "s", 1))
+            if j:
+                want[10 * i + j] = set(range(30, 30 + times))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    cover = covered(substring.shared_passages(df).collect())
+    assert set(cover) == set(want)
+    for d, w in want.items():
+        assert len(cover[d] & w) >= (0.9 if len(w) == 80 else 0.75) * len(w) and len(cover[d] - w) <= 6, d
+
+
+def test_matches_over_batches():
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    rows = sorted({(rng.randrange(30), rng.randrange(12), rng.randrange(60)) for _ in range(2500)})
+    places = defaultdict(lambda: defaultdict(list))
+    for s, d, p in rows:
+        places[s][d].append(p)
+    want = set()
+    for by_doc in places.values():
+        least = min(by_doc)
+        for d, ps in by_doc.items():
+            for n, p in enumerate(ps) if d != least else ():
+                want |= {(d, p, least, by_doc[least][n % len(by_doc[least])]), (d, p, least, by_doc[least][0])}
+    rows = sorted(rows + rows[::9])
+    for size in (1, 3, 64, 10_000):
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows[a : a + size]], pa.int64()) for i in range(3)], names=["seed", "doc", "pos"]) for a in range(0, len(rows), size)]
+        got = set()
+        for b in substring._match_first(iter(batches)):
+            for d, a, raw in zip(*(c.to_pylist() for c in b.columns)):
+                got |= {(d, int(p), a, int(q)) for p, q in np.frombuffer(raw, "<i4").reshape(-1, 2)}
+        assert got == want, size
+
+
 def test_chains_and_alignment():
     pos = np.array([0, 10, 20, 30, 31, 500])
     apos = np.array([100, 110, 120, 130, 5, 600])
