@@ -333,6 +333,21 @@ def test_fuzzy_passages(spark):
     assert sum(" ".join(passage[50:60]) in t or len(set(passage) & set(t.split())) > 60 for t in less.values()) == 1
 
 
+def test_short_fuzzy_passages(spark):
+    """Passages of 55 to 80 words with every 8th or 10th word changed are nearly all found."""
+    rng, rows, where = random.Random(23), [], {}
+    some = lambda n: [f"f{rng.randrange(10**7)}" for _ in range(n)]
+    for i in range(120):
+        n, step = (55, 60, 80)[i % 3], (8, 10)[i % 2]
+        p = some(n)
+        q = ["c" + w if k % step == step - 1 else w for k, w in enumerate(p)]
+        for j, w in enumerate((p, q)):
+            rows.append((2 * i + j, " ".join(some(40) + w + some(40)), "en", "s", 1))
+        where[2 * i + 1] = set(range(40, 40 + n))
+    cover = covered(substring.shared_passages(spark.createDataFrame(rows, BODY).repartition(4)).collect())
+    assert sum(len(cover[d] & w) >= 0.9 * len(w) for d, w in where.items()) >= 0.95 * len(where)
+
+
 def test_passages_that_repeat_words(spark):
     """Passages of one word, or of one line of up to 16 words, over and over."""
     rng = random.Random(21)
