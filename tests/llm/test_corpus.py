@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidelog.llm import jaccard, links, mixing, quality, sharding, substring
+from tidelog.llm import common, jaccard, links, mixing, quality, sharding, substring
 from tidelog.llm.entries import ORACLE_SQL, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -391,28 +391,109 @@ def test_passages_whose_lines_stand_elsewhere(spark):
     assert all(w <= cover[d] for d, w in want.items())
 
 
-def test_matches_over_batches():
-    import pyarrow as pa
+def some_words(rng, n, tag="q"):
+    return [f"{tag}{rng.randrange(10**7)}" for _ in range(n)]
+
+
+@pytest.mark.parametrize("batch", ["50", "5000"])
+def test_passages_do_not_depend_on_layout(spark, batch, monkeypatch):
+    """The same rows whatever the partitions, their order, and the batches."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id < 400")
+    monkeypatch.setitem(common.ACTION_SETTINGS, "spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    found = []
+    for df in (docs.coalesce(1), docs.repartition(8), docs.orderBy(F.rand(3)).repartition(3)):
+        found.append(sorted(map(tuple, substring.shared_passages(df).collect())))
+    assert found[0] == found[1] == found[2] and len(found[0]) > 20
+    monkeypatch.setitem(common.ACTION_SETTINGS, "spark.sql.execution.arrow.maxRecordsPerBatch", "300")
+    assert sorted(map(tuple, substring.shared_passages(docs).collect())) == found[0]
+
+
+def test_passages_are_merged(spark):
+    """A passage whose pieces of 40 words ten other documents own is one row for its pair."""
+    rng = random.Random(31)
+    body = some_words(rng, 400)
+    rows = [(i, some_words(rng, 30) + body[40 * i : 40 * i + 40] + some_words(rng, 30)) for i in range(10)]
+    rows += [(10, some_words(rng, 50) + body + some_words(rng, 50)), (11, some_words(rng, 50) + body + some_words(rng, 50))]
+    df = spark.createDataFrame([(d, " ".join(w), "en", "s", 1) for d, w in rows], BODY).repartition(4)
+    found = [r for r in substring.shared_passages(df).collect() if r["doc_id"] == 11]
+    assert [(r["start"], r["end"], r["source_doc_id"]) for r in found] == [(50, 450, 10)]
+
+
+def test_passages_that_go_on_beyond_their_seeds(spark):
+    """1,500 common words of which other documents own all seeds but those of 60 words."""
+    rng = random.Random(32)
+    body = some_words(rng, 1500)
+    rows = [(0, body[:700] + ["cut"]), (1, ["cut"] + body[760:])]
+    rows += [(2, some_words(rng, 20) + body + some_words(rng, 20)), (3, some_words(rng, 40) + body + some_words(rng, 40))]
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    found = [r for r in substring.shared_passages(df).collect() if r["doc_id"] == 3]
+    assert (40, 1540, 2) in [(r["start"], r["end"], r["source_doc_id"]) for r in found]
+
+
+def test_passages_of_rows_with_one_doc_id(spark):
+    """Different texts of one doc_id are searched and cut each for itself; repeated rows are one."""
+    rng = random.Random(33)
+    passage, own, other = some_words(rng, 80), some_words(rng, 100), some_words(rng, 200)
+    texts = [(1, some_words(rng, 60) + passage), (2, own + passage), (2, other), (2, own + passage)]
+    df = spark.createDataFrame([(d, " ".join(w), i, "x", "x") for i, (d, w) in enumerate(texts)], "doc_id long, text string, _d int, _spans string, _key string")
+    found = substring.shared_passages(df).collect()
+    assert [(r["doc_id"], r["start"], r["end"], r["source_doc_id"]) for r in found] == [(2, 100, 180, 1)]
+    less = {r["_d"]: r["text"].split() for r in substring.remove_passages(df).collect()}
+    assert less == {0: texts[0][1], 1: own, 2: other, 3: own}
+
+
+def fuzzy_by_hand(texts):
+    """(doc, words) that stand in an earlier document: longest runs by extension from every common run of 5
+    words along its diagonal, matches 1 and others -2 as far as the sum falls by 10."""
+    at = defaultdict(list)
+    for d in sorted(texts):
+        for i in range(len(texts[d]) - 4):
+            at[tuple(texts[d][i : i + 5])].append((d, i))
+    out, seen = defaultdict(set), set()
+    for places in at.values():
+        for x, (a, i) in enumerate(places):
+            for b, j in places[x + 1 :]:
+                if a == b or (a, b, i - j, i) in seen:
+                    continue
+                ends = []
+                for way in (1, -1):
+                    best = total = 0
+                    n, far = 0, 0
+                    p, q = (i + 5, j + 5) if way == 1 else (i - 1, j - 1)
+                    while 0 <= p < len(texts[a]) and 0 <= q < len(texts[b]):
+                        total += 1 if texts[a][p] == texts[b][q] else -2
+                        n += 1
+                        if total > best:
+                            best, far = total, n
+                        if best - total > 10:
+                            break
+                        p, q = p + way, q + way
+                    ends.append(far)
+                on, back = ends
+                seen |= {(a, b, i - j, k) for k in range(i - back, i + 5 + on)}
+                lo, hi = j - back, j + 5 + on
+                equal = sum(texts[b][k] == texts[a][k + i - j] for k in range(lo, hi))
+                if hi - lo >= 50 and equal >= 0.8 * (hi - lo):
+                    out[b] |= set(range(lo, hi))
+    return out
 
-    rng = random.Random(5)
-    rows = sorted({(rng.randrange(30), rng.randrange(12), rng.randrange(60)) for _ in range(2500)})
-    places = defaultdict(lambda: defaultdict(list))
-    for s, d, p in rows:
-        places[s][d].append(p)
-    want = set()
-    for by_doc in places.values():
-        least = min(by_doc)
-        for d, ps in by_doc.items():
-            for n, p in enumerate(ps) if d != least else ():
-                want |= {(d, p, least, by_doc[least][n % len(by_doc[least])]), (d, p, least, by_doc[least][0])}
-    rows = sorted(rows + rows[::9])
-    for size in (1, 3, 64, 10_000):
-        batches = [pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows[a : a + size]], pa.int64()) for i in range(3)], names=["seed", "doc", "pos"]) for a in range(0, len(rows), size)]
-        got = set()
-        for b in substring._match_first(iter(batches)):
-            for d, a, raw in zip(*(c.to_pylist() for c in b.columns)):
-                got |= {(d, int(p), a, int(q)) for p, q in np.frombuffer(raw, "<i4").reshape(-1, 2)}
-        assert got == want, size
+
+def test_fuzzy_passages_against_brute_force(spark):
+    """Passages of 50 to 150 words with 0 to 20% of words changed at random: recall of words and of passages."""
+    rng = random.Random(34)
+    texts = {}
+    for i in range(150):
+        p = some_words(rng, rng.randrange(52, 150))
+        rate = rng.random() * 0.2
+        q = [w if rng.random() > rate else "c" + w for w in p]
+        texts[2 * i] = some_words(rng, 40) + p + some_words(rng, 40)
+        texts[2 * i + 1] = some_words(rng, 40) + q + some_words(rng, 40)
+    want = fuzzy_by_hand(texts)
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in texts.items()], "doc_id long, text string").repartition(4)
+    got = covered(substring.shared_passages(df).collect())
+    assert len(want) > 100
+    assert sum(len(got[d] & w) >= 0.9 * len(w) for d, w in want.items()) >= 0.9 * len(want)
+    assert sum(len(w - want[d]) for d, w in got.items()) < 0.05 * sum(map(len, got.values()))
 
 
 def test_chains_and_alignment():

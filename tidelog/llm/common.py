@@ -2,52 +2,62 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Settings of own actions: Arrow batches of whole texts hold fewer rows and bytes, and shuffle files go as
+#: soon as what was computed from them is written.
+ACTION_SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; only where that is unset (a
-    single machine, as in tests) a folder of this machine is set instead."""
+    """The shared folder of spark.checkpoint.dir; only where that is unset on a
+    single machine (as in tests) a folder of this machine is set instead."""
     sc = spark.sparkContext
     have = sc.getCheckpointDir()
     if have:
         return have
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = os.path.join(tempfile.gettempdir(), "checkpoints")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
 
-BATCH_ROWS = "2000"
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of whole texts hold fewer rows than Spark's default, on both sides
-    of the pipe; a setting of the session's own stays."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(name) == "10000":
-        spark.conf.set(name, BATCH_ROWS)
-
-
-def cut(df: DataFrame, release: bool = False) -> DataFrame:
+@contextmanager
+def own_action(spark: SparkSession):
+    """Runs an action under ACTION_SETTINGS; the session's own come back after it."""
+    before = {}
+    for name, value in ACTION_SETTINGS.items():
+        try:
+            before[name] = spark.conf.get(name)
+            spark.conf.set(name, value)
+        except Exception:  # a Spark without this setting
+            before.pop(name, None)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def cut(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and keep it in the shared checkpoint folder: later
-    steps read it from there, whatever executor is lost.  ``release``: have the
-    driver notice that nothing needs the shuffles behind it any more."""
+    steps read it from there, whatever executor is lost."""
     ensure_checkpoint_dir(df.sparkSession)
-    small_batches(df.sparkSession)
-    out = df.checkpoint(eager=True)
-    if release:
-        del df
-        gc.collect()
-        out.sparkSession.sparkContext._jvm.System.gc()
-    return out
+    with own_action(df.sparkSession):
+        return df.checkpoint(eager=True)
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -55,12 +65,18 @@ def written(df: DataFrame) -> DataFrame:
     ``cut``, and without the constraints that a checkpoint keeps, which iterations
     would let grow without end."""
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with own_action(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fetched(df: DataFrame):
+    """The rows of a frame of bounded size, as an Arrow table on the driver."""
+    with own_action(df.sparkSession):
+        return df.toArrow()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

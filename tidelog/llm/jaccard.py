@@ -326,7 +326,7 @@ class Join:
         self.equal = cut(full.join(same.select("a", "h1", "h2", "n"), ["h1", "h2", "n"]).select("a", F.col("doc").alias("b")).where("a <> b").distinct())
         found = rows.mapInArrow(_signature_rows, "sig long, doc long")
         runs = found.repartition("sig").sortWithinPartitions("sig", "doc").mapInArrow(_shared_runs, "sig long, doc long, hub long, size long")
-        self.shared = cut(runs.groupBy("sig", "doc", "hub", "size").agg(F.count("*").alias("weight")), release=True)
+        self.shared = cut(runs.groupBy("sig", "doc", "hub", "size").agg(F.count("*").alias("weight")))
 
     def plausible(self, pairs: DataFrame) -> DataFrame:
         """(a, b) pairs, a < b, without those that sizes or sketches rule out."""
@@ -358,7 +358,7 @@ class Join:
         bits = IdBits(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
         content = self.rows.select("doc", "text", F.xxhash64("doc").alias("_x")).mapInArrow(_sets(bits), "node long, features binary")
         rows = pairs.join(content.withColumnRenamed("node", "b"), "b").select("a", F.col("b").alias("doc"), "features")
-        return cut(meet_at_hubs(rows, "a", pairs, content, "node", "features", _compare, _VERIFIED), release=True)
+        return cut(meet_at_hubs(rows, "a", pairs, content, "node", "features", _compare, _VERIFIED))
 
 
 def _may_link(c):

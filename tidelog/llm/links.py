@@ -18,8 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, written
-from .text import mix
+from .common import cut, fetched, written
 
 BITS = 24
 HUB_ROWS = 256
@@ -53,20 +52,22 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 class IdBits:
-    """A set of 64-bit ids with false positives, in 2^BITS bits."""
-
-    def __init__(self, ids: DataFrame):
-        """``ids`` has one column; at most 2^BITS / 64 rows reach the driver."""
-        name = ids.columns[0]
-        bit = F.pmod(F.xxhash64(F.col(name)), F.lit(1 << BITS))
-        words = ids.select(F.shiftright(bit, 6).alias("w"), F.expr(f"shiftleft(1L, CAST(pmod(xxhash64({name}), 64) AS INT))").alias("v"))
-        got = words.groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()
-        self.words = np.zeros((1 << BITS) // 64, np.int64)
+    """A set of ids with false positives, in 2^bits bits."""
+
+    def __init__(self, ids: DataFrame, hashed: bool = False, bits: int = BITS):
+        """``ids`` has one column (``hashed``: of 64-bit hashes already); at most 2^bits / 64 rows reach the driver."""
+        name = F.col(ids.columns[0])
+        value = (name if hashed else F.xxhash64(name)).alias("v")
+        bit = F.col("v").bitwiseAND(F.lit((1 << bits) - 1))
+        words = ids.select(value).select(F.shiftright(bit, 6).alias("w"), F.expr("shiftleft(1L, CAST(v & 63 AS INT))").alias("v"))
+        got = fetched(words.groupBy("w").agg(F.bit_or("v").alias("v")))
+        self.mask = (1 << bits) - 1
+        self.words = np.zeros((1 << bits) // 64, np.int64)
         self.words[got["w"].to_numpy()] = got["v"].to_numpy()
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        """Which ids may be there, from their xxhash64."""
-        bit = hashes.astype(np.int64) & ((1 << BITS) - 1)
+        """Which ids may be there, from their xxhash64 (or their own hashes)."""
+        bit = hashes.astype(np.int64) & self.mask
         return (self.words[bit >> 6] >> (bit & 63)) & 1 == 1
 
 
@@ -93,8 +94,3 @@ def meet_at_hubs(rows: DataFrame, hub: str, pairs: DataFrame, content: DataFrame
     )
     both = held.union(dealt).repartition("_hub", "_salt").sortWithinPartitions("_hub", "_salt", "_kind")
     return both.mapInArrow(run, schema)
-
-
-def spread(ids: np.ndarray, seed: int) -> np.ndarray:
-    """A seeded order of ids."""
-    return mix(ids.astype(np.int64).view(np.uint64) ^ np.uint64(seed))

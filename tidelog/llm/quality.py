@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import documents, small_batches, text_or_empty
+from .common import documents, fetched, text_or_empty
 from .text import LOWER, WHITE, buffer_of, hash_spans, slices, spans
 
 DIM = 48
@@ -101,7 +101,7 @@ def context_sums(df: DataFrame) -> np.ndarray:
 
     schema = "token int, " + ", ".join(f"c{i} long" for i in range(DIM))
     rows = df.select(text_or_empty().alias("text")).mapInArrow(run, schema)
-    got = rows.groupBy("token").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(DIM)]).toArrow().to_pandas()  # WORDS + SHAPES rows at most
+    got = fetched(rows.groupBy("token").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(DIM)])).to_pandas()  # WORDS + SHAPES rows at most
     out = np.zeros((n, DIM))
     out[got["token"].to_numpy()] = got[[f"c{i}" for i in range(DIM)]].to_numpy()
     return out
@@ -200,7 +200,6 @@ def held_out(doc_id) -> F.Column:
 
 def fit(df: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[np.ndarray, Network]:
     """Word vectors of all of ``df`` and the network of a bounded sample of its labelled rows."""
-    small_batches(df.sparkSession)
     vectors = unit_vectors(context_sums(df))
     sample = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -221,7 +220,7 @@ def fit(df: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[np.ndar
                 x = features(buf[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], vectors)
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array([r.astype("<f4").tobytes() for r in x], pa.binary())], names=["_id", "_y", "x"])
 
-    table = got.select("text", "_id", "_y").mapInArrow(run, "_id long, _y double, x binary").toArrow().to_pandas()
+    table = fetched(got.select("text", "_id", "_y").mapInArrow(run, "_id long, _y double, x binary")).to_pandas()
     table = table.sort_values("_id")
     x = np.array([np.frombuffer(b, "<f4") for b in table["x"]], dtype=float).reshape(len(table), FEATURES)
     return vectors, Network().fit(x, table["_y"].to_numpy())

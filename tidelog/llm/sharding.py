@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, documents, text_or_empty
+from .common import cut, documents, fetched, text_or_empty
 
 ROW_BYTES = 16
 SHARDS = 40
@@ -100,7 +100,7 @@ def histogram(keys: DataFrame, probes: list[int]) -> pd.DataFrame:
             )
 
     parts = keys.mapInArrow(count, "bin int, n long, bytes long, lo binary, hi binary")
-    rows = parts.groupBy("bin").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).toArrow().to_pandas()
+    rows = fetched(parts.groupBy("bin").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))).to_pandas()
     out = rows.sort_values("bin").reset_index(drop=True)
     out["lo"] = [_as_int(bytes(x)) for x in out["lo"]]
     out["hi"] = [_as_int(bytes(x)) for x in out["hi"]]
