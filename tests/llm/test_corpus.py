@@ -391,6 +391,15 @@ def test_passages_whose_lines_stand_elsewhere(spark):
     assert all(w <= cover[d] for d, w in want.items())
 
 
+def test_fewest_spans():
+    rng = random.Random(35)
+    for _ in range(300):
+        spans_ = [(a, a + rng.randrange(1, 12), i) for i in range(rng.randrange(1, 25)) for a in [rng.randrange(60)]]
+        got = substring.fewest(spans_)
+        assert {x for a, b, _ in got for x in range(a, b)} == {x for a, b, _ in spans_ for x in range(a, b)}
+        assert set(got) <= set(spans_) and all(sum(a <= x < b for a, b, _ in got) <= 2 for x in range(80))
+
+
 def some_words(rng, n, tag="q"):
     return [f"{tag}{rng.randrange(10**7)}" for _ in range(n)]
 

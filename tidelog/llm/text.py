@@ -40,7 +40,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of an odd number and of its inverse."""
     if len(_powers[0]) < n:
         for i, base in enumerate((_P, _P_INV)):
             p = np.full(n, base, np.uint64)
@@ -117,7 +118,7 @@ def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
         lo = int(starts[i])
         j = max(int(np.searchsorted(ends, lo + BLOCK_BYTES, "right")), i + 1)
         block = buf[lo : int(ends[j - 1])]
-        pw, inv = _power_tables(max(len(block) + 1, BLOCK_BYTES + 1))
+        pw, inv = power_tables(max(len(block) + 1, BLOCK_BYTES + 1))
         acc = np.zeros(len(block) + 1, np.uint64)
         np.cumsum((block.astype(np.uint64) + np.uint64(1)) * pw[: len(block)], out=acc[1:])
         s, e = starts[i:j] - lo, ends[i:j] - lo
