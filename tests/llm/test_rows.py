@@ -14,6 +14,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidelog.llm import licenses, media, order_minhash, packing, tokens
@@ -168,7 +169,7 @@ def _hash(*parts):
 def fingerprint_by_hand(text):
     o = order_minhash
     flat = re.sub("[\n\t\r\v\f]", " ", text)
-    units = [] if not text else list(text) if len(text.encode()) > 64 * (flat.count(" ") + 1) else flat.split(" ")
+    units = [x for w in flat.split(" ") for x in (w if len(w.encode()) > o.LONG else [w])] if text else []
     n = max(len(units) - o.K + 1, min(len(units), 1))
     mask = ((1 << o.HASH_BITS) - 1) << o.PLACE_BITS
     seen, items = {}, []
@@ -178,15 +179,45 @@ def fingerprint_by_hand(text):
         if k:
             h = (xxhash.xxh64(k.to_bytes(4, "little"), seed=xxhash.xxh64(h.to_bytes(8, "little"), seed=42).intdigest()).intdigest() & mask) >> o.PLACE_BITS
         items.append((h, i))
+    items.sort()
     out = []
-    for b in range(o.BUCKETS):
-        pick = sorted(x for x in items if x[0] >> (o.HASH_BITS - 6) == b)[: o.TUPLE]
-        if pick:
-            code = _hash(*[h for h, _ in sorted(pick, key=lambda x: x[1])])
-            out.append(b << 16 | code & 65535)
+    for j in range(o.SAMPLES) if items else ():
+        at = next((x for x, (h, _) in enumerate(items) if h >> (o.HASH_BITS - 6) >= j), 0)
+        pick = [items[at]] + [items[(at + 1) % n]] * (n > 1)
+        out.append(j << 16 | _hash(*[h for h, _ in sorted(pick, key=lambda x: x[1])]) & 65535)
     return out
 
 
+def test_order_counts_at_all_lengths(spark):
+    """Texts with their halves swapped are about half alike; equal stretches of texts with and without spaces are found."""
+    rng, rows = random.Random(12), []
+    for n in (30, 60, 100, 200, 1000):
+        for i in range(60):
+            w = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+            rows.append((n, " ".join(w), " ".join(w[n // 2 :] + w[: n // 2])))
+    df = spark.createDataFrame(rows, "n int, a string, b string")
+    both = order_minhash.with_fingerprint(order_minhash.with_fingerprint(df, "a", "x"), "b", "y")
+    for n, near in both.groupBy("n").agg(F.avg(order_minhash.likeness(F.col("x"), F.col("y")))).collect():
+        assert 0.3 < near <= 0.55, (n, near)
+    solid = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(900))
+    spaced = " ".join(f"v{i}" for i in range(40))
+    pair = spark.createDataFrame([(solid, solid + " " + spaced)], "a string, b string")
+    got = order_minhash.with_fingerprint(order_minhash.with_fingerprint(pair, "a", "x"), "b", "y")
+    assert got.select(order_minhash.likeness(F.col("x"), F.col("y"))).first()[0] > 0.7
+
+
+def test_next_document_with_outliers(spark):
+    """Ids far from the others leave groups of equal size; the order goes round."""
+    ids = [*range(3000), 10**15, -(10**15)]
+    df = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string").repartition(5)
+    got = {r[0]: r[1] for r in order_minhash.with_next(df, ["text"]).select("doc_id", "next_text").collect()}
+    down = sorted(ids, reverse=True)
+    assert got == {a: f"t{b}" for a, b in zip(down, down[1:] + down[:1])}
+    bounds = [10, 20, 20 + 1, *range(30, 2000, 7)]
+    at = spark.range(-5, 2100, 3).select("id", order_minhash.group_of(F.col("id"), bounds).alias("g")).collect()
+    assert all(g == sum(b <= i for b in bounds) for i, g in at)
+
+
 def test_order_minhash(spark, odd, empty):
     rows = [r for r in odd.where("doc_id NOT IN (3, 6)").select("doc_id", "text").distinct().collect()]
     got = {r["doc_id"]: r for r in order_minhash.order_minhash(odd.where("doc_id NOT IN (3, 6)")).collect()}
@@ -200,8 +231,7 @@ def test_order_minhash(spark, odd, empty):
         a, b, c = fingerprint_by_hand(text), fingerprint_by_hand(edited), fingerprint_by_hand(nxt)
         assert g["fingerprint"] == "".join(f"{x:06x}" for x in a) and g["edited_fingerprint"] == "".join(f"{x:06x}" for x in b)
         for near, other in ((g["near_edited"], b), (g["near_next"], c)):
-            either = {x >> 16 for x in a} | {x >> 16 for x in other}
-            assert near == pytest.approx(len(set(a) & set(other)) / len(either) if either else 1.0)
+            assert near == pytest.approx(len(set(a) & set(other)) / order_minhash.SAMPLES if a or other else 1.0)
     assert order_minhash.order_minhash(empty).count() == 0
     full = order_minhash.order_minhash(odd)
     assert full.count() == odd.count() and full.where("near_edited NOT BETWEEN 0 AND 1").count() == 0

@@ -1,23 +1,24 @@
 """Order MinHash fingerprints of whole texts, by DataFrame functions only.
 
-Units are what single white space bytes part (single characters where a text has
-hardly any).  Every run of K units is a k-mer; the n-th occurrence of the same
-k-mer is another element than its first.  Elements fall into BUCKETS by their
-hash; of each bucket the TUPLE least ones are selected, put back into the order
-of the text, and hashed together.  A swap of passages keeps the elements but
-changes tuples, so likeness follows edit distance more than a set's likeness.
+Units are what single white space bytes part; a part of more than LONG bytes counts as its characters, so
+equal stretches have equal units whatever surrounds them.  Every run of K units is a k-mer; the n-th
+occurrence of the same k-mer is another element than its first.  Elements stand on a circle by their
+hash, and each of SAMPLES evenly spaced points selects the TUPLE elements that follow it: in long texts the least ones
+of a hash range, in short ones as many, from the ranges that follow.  They are put back into
+the order of the text and hashed together.  A swap of passages keeps the elements but
+changes tuples, so likeness follows edit distance more than a set's likeness: a text and itself
+with its halves swapped are about 0.5 alike, at any length.
 
-A fingerprint is the sorted list of (bucket, 16-bit tuple hash); likeness is the
-share of equal entries among the buckets that either text fills.
+A fingerprint is the list of (sample, 16-bit tuple hash); likeness is the share of equal entries.
 
-Per row the work is a few passes and two sorts over packed 64-bit integers
-(hash in the upper 39 bits, place in the lower 24; places beyond 2^24 units are
-one place).
+Per row the work is a few passes and two sorts over packed 64-bit integers (hash in the upper 32
+bits, place in the lower 31, as many as an array can have).
 
 Defined cases: null and empty texts have the empty fingerprint, and two empty
 ones have likeness 1, an empty and a full one 0; a text of fewer than K units
-has one k-mer, the whole; equal texts have equal fingerprints; the next document
-of equal ids is found by the text's hash; an empty table gives an empty result.
+has one k-mer, the whole, and an entry of one element only; equal texts have equal fingerprints; the next document
+of equal ids is found by the text's hash; rows of a null doc_id are the last; an empty table gives an empty result;
+``order_minhash`` reads doc_id and text only, and ``with_fingerprint`` keeps columns of any other name.
 """
 
 from __future__ import annotations
@@ -25,31 +26,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import computed_once, documents, text_or_empty
+from .common import computed_once, documents, free_name, text_or_empty
 
 K = 3
 TUPLE = 2
-BUCKETS = 64
-PLACE_BITS = 24
-HASH_BITS = 39
+SAMPLES = 64
+LONG = 64
+PLACE_BITS = 31
+HASH_BITS = 32
 DOCS_PER_GROUP = 256
+#: Groups of documents that follow each other are at most so many, each of about equally many rows.
+MOST_GROUPS = 1 << 14
+FAN = 128
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K) -> DataFrame:
     """Adds ``out``: the fingerprint of a column of texts without nulls, as array<int>."""
+    u, s, r, f, e, p, c = (free_name(df, n) for n in ("_u", "_s", "_r", "_f", "_e", "_p", "_c"))
     t = F.col(text)
-    flat = F.translate(t, "\n\t\r\v\f", "     ")
-    units = F.when(F.octet_length(t) == 0, F.array().cast("array<string>")).when(
-        F.octet_length(t) > 64 * (F.octet_length(flat) - F.octet_length(F.replace(flat, F.lit(" "), F.lit(""))) + 1), F.split(t, "")
-    ).otherwise(F.split(flat, " "))
+    none = F.array().cast("array<string>")
+    units = F.when(F.octet_length(t) == 0, none).otherwise(F.split(F.translate(t, "\n\t\r\v\f", "     "), " "))
+    cut_up = F.flatten(F.transform(u, lambda w: F.when(F.octet_length(w) > LONG, F.split(w, "")).otherwise(F.array(w))))
     low = (1 << PLACE_BITS) - 1
     mask = ((1 << HASH_BITS) - 1) << PLACE_BITS
 
-    def place(i: Column) -> Column:
-        return F.least(i, F.lit(low)).cast("long")
-
     def kmer(x: Column, i: Column) -> Column:
-        return F.xxhash64(x, *[F.get(F.col("_u"), i + j) for j in range(1, k)]).bitwiseAND(F.lit(mask)).bitwiseOR(place(i))
+        return F.xxhash64(x, *[F.get(F.col(u), i + j) for j in range(1, k)]).bitwiseAND(F.lit(mask)).bitwiseOR(i.cast("long"))
 
     def hashed(x: Column) -> Column:
         return F.shiftright(x, PLACE_BITS)
@@ -57,81 +59,99 @@ def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K) -> DataFram
     def same(x: Column, other: Column) -> Column:
         return F.coalesce(hashed(x) == hashed(other), F.lit(False))
 
-    def bucket(x: Column) -> Column:
+    def sample(x: Column) -> Column:
         return F.shiftright(x, PLACE_BITS + HASH_BITS - 6)
 
-    n = F.greatest(F.size("_u") - (k - 1), F.least(F.size("_u"), F.lit(1)))
-    step1 = df.withColumn("_u", units)
-    step2 = step1.withColumn("_s", F.sort_array(F.transform(F.when(F.size("_u") >= k, F.slice("_u", 1, n)).otherwise(F.slice("_u", 1, n)), kmer)))
-    again = F.filter("_s", lambda x, i: same(x, F.get(F.col("_s"), i - 1)))
-    step3 = step2.withColumn("_r", again)
+    n = F.greatest(F.size(u) - (k - 1), F.least(F.size(u), F.lit(1)))
+    step1 = df.withColumn(u, units).withColumn(u, F.when(F.exists(u, lambda w: F.octet_length(w) > LONG), cut_up).otherwise(F.col(u)))
+    step2 = step1.withColumn(s, F.sort_array(F.transform(F.slice(u, 1, n), kmer)))
+    step3 = step2.withColumn(r, F.filter(s, lambda x, i: same(x, F.get(F.col(s), i - 1))))
     # Occurrence numbers of repeated k-mers: their place in the run of equal hashes.
-    first = F.filter(F.sequence(F.lit(0), F.size("_r") - 1), lambda i: ~same(F.get(F.col("_r"), i), F.get(F.col("_r"), i - 1)))
-    runs = F.when(F.size("_r") > 0, first).otherwise(F.array().cast("array<int>"))
-    step4 = step3.withColumn("_f", runs)
+    first = F.filter(F.sequence(F.lit(0), F.size(r) - 1), lambda i: ~same(F.get(F.col(r), i), F.get(F.col(r), i - 1)))
+    step4 = step3.withColumn(f, F.when(F.size(r) > 0, first).otherwise(F.array().cast("array<int>")))
 
     def numbered(at: Column, j: Column) -> Column:
-        upto = F.coalesce(F.get(F.col("_f"), j + 1), F.size("_r"))
+        upto = F.coalesce(F.get(F.col(f), j + 1), F.size(r))
         return F.transform(
-            F.slice("_r", at + 1, upto - at),
+            F.slice(r, at + 1, upto - at),
             lambda x, occ: F.xxhash64(hashed(x), occ + 1).bitwiseAND(F.lit(mask)).bitwiseOR(x.bitwiseAND(F.lit(low))),
         )
 
-    renamed = F.flatten(F.transform("_f", numbered))
-    only = F.filter("_s", lambda x, i: ~same(x, F.get(F.col("_s"), i - 1)))
-    step5 = step4.withColumn("_e", F.when(F.size("_r") > 0, F.sort_array(F.concat(only, renamed))).otherwise(F.col("_s")))
-    pick = F.filter("_e", lambda x, i: F.coalesce(bucket(x) != bucket(F.get(F.col("_e"), i - TUPLE)), F.lit(True)))
-    step6 = step5.withColumn("_p", pick)
+    renamed = F.flatten(F.transform(f, numbered))
+    only = F.filter(s, lambda x, i: ~same(x, F.get(F.col(s), i - 1)))
+    step5 = step4.withColumn(e, F.when(F.size(r) > 0, F.sort_array(F.concat(only, renamed))).otherwise(F.col(s)))
+    # The first TUPLE of each range: each range's first one is followed by the next on the circle.
+    step6 = step5.withColumn(p, F.filter(e, lambda x, i: F.coalesce(sample(x) != sample(F.get(F.col(e), i - TUPLE)), F.lit(True))))
+
+    def code(x: Column, i: Column) -> Column:
+        """For a range's first element: how many samples it is the first for, and its tuple's hash."""
+        before = F.get(F.col(p), i - 1)
+        after = F.coalesce(F.get(F.col(p), i + 1), F.get(F.col(p), F.lit(0)))
+        ahead = x.bitwiseAND(F.lit(low)) <= after.bitwiseAND(F.lit(low))
+        tuple_hash = F.when(F.size(p) == 1, F.xxhash64(hashed(x))).when(ahead, F.xxhash64(hashed(x), hashed(after))).otherwise(F.xxhash64(hashed(after), hashed(x)))
+        times = sample(x) - F.coalesce(sample(before), F.lit(-1))
+        return F.when(times > 0, times * 65536 + tuple_hash.bitwiseAND(F.lit(65535)))
 
-    def entry(x: Column, i: Column) -> Column:
-        nxt = F.get(F.col("_p"), i + 1)
-        pair = F.coalesce(bucket(nxt) == bucket(x), F.lit(False))
-        ahead = x.bitwiseAND(F.lit(low)) <= nxt.bitwiseAND(F.lit(low))
-        code = F.when(~pair, F.xxhash64(hashed(x))).when(ahead, F.xxhash64(hashed(x), hashed(nxt))).otherwise(F.xxhash64(hashed(nxt), hashed(x)))
-        head = F.coalesce(bucket(x) != bucket(F.get(F.col("_p"), i - 1)), F.lit(True))
-        return F.when(head, (bucket(x) * 65536 + code.bitwiseAND(F.lit(65535))).cast("int"))
+    step7 = step6.withColumn(c, F.filter(F.transform(p, code), lambda x: x.isNotNull()))
 
-    signature = F.filter(F.transform("_p", entry), lambda x: x.isNotNull())
-    return step6.withColumn(out, computed_once(signature)).drop("_u", "_s", "_r", "_f", "_e", "_p")
+    def entries(x: Column, times: Column) -> Column:
+        return F.array_repeat(x.bitwiseAND(F.lit(65535)), times.cast("int"))
+
+    rest = entries(F.get(F.col(c), F.lit(0)), SAMPLES - 1 - sample(F.element_at(F.col(p), -1)))
+    whole = F.concat(F.flatten(F.transform(c, lambda x: entries(x, F.shiftright(x, 16)))), rest)
+    signature = F.transform(whole, lambda x, j: (j * 65536 + x).cast("int"))
+    signature = F.when(F.size(c) > 0, signature).otherwise(F.array().cast("array<int>"))
+    return step7.withColumn(out, computed_once(signature)).drop(u, s, r, f, e, p, c)
 
 
 def fingerprint_text(sig: Column) -> Column:
-    """Six hex digits an entry: the bucket's two and the hash's four."""
+    """Six hex digits an entry: the sample's two and the hash's four."""
     return F.array_join(F.transform(sig, lambda x: F.lpad(F.lower(F.hex(x)), 6, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    def buckets(x: Column) -> Column:
-        return F.transform(x, lambda v: F.shiftright(v, 16))
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / SAMPLES).cast("double")
+
 
-    either = F.size(F.array_union(buckets(a), buckets(b)))
-    return F.when(either == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / either).cast("double")
+def group_of(x: Column, bounds: list[int]) -> Column:
+    """How many of the sorted bounds are at most ``x``: from blocks of FAN down to single ones."""
+    levels = [bounds]
+    while len(levels[0]) > FAN:
+        levels.insert(0, levels[0][FAN - 1 :: FAN])
+    at = F.lit(0)
+    for i, level in enumerate(levels):
+        array = F.expr(f"array({','.join(f'{b}L' for b in level)})") if level else F.array().cast("array<long>")
+        near = array if i == 0 else F.slice(array, at * FAN + 1, F.lit(FAN))
+        at = at * FAN + F.size(F.filter(near, lambda b: b <= x))
+    return at
 
 
 def with_next(df: DataFrame, carried: list[str]) -> DataFrame:
     """Adds next_<c>: the values of the next document by descending doc_id (after
-    the last one: the first).  Documents are grouped by ranges of doc_id with some
-    hundred each; only the last of a group looks at another group's first row.
+    the last one: the first).  Documents are grouped by quantiles of doc_id with some
+    hundred each, so ids far from the others do no harm; only the last of a group looks
+    at another group's first row.
     """
-    bounds = df.agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
-    lo, hi = bounds["lo"] or 0, bounds["hi"] or 0
-    width = max(1, -(-(hi - lo + 1) * DOCS_PER_GROUP // max(1, bounds["n"])))
-    group = F.coalesce(F.floor((F.col("doc_id") - F.lit(lo)) / F.lit(width)), F.lit(-1)).cast("long")
-    grouped = df.withColumn("_g", group)
-    tie = [F.col("doc_id").desc_nulls_last(), F.col("_tie")]
-    w = Window.partitionBy("_g").orderBy(*tie)
+    g, lg, tie, nxt = (free_name(df, n) for n in ("_g", "_lg", "_tie", "_next"))
+    rows = df.agg(F.count("doc_id")).first()[0]
+    count = min(MOST_GROUPS, rows // DOCS_PER_GROUP)
+    bounds: list[int] = []
+    if count > 1:
+        shares = F.expr(f"array({','.join(f'{i / count:.9f}D' for i in range(1, count))})")
+        bounds = sorted(set(df.agg(F.percentile_approx("doc_id", shares, F.lit(max(10_000, 20 * count)))).first()[0]))
+    grouped = df.withColumn(g, F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(group_of(F.col("doc_id"), bounds)).cast("int"))
+    w = Window.partitionBy(g).orderBy(F.col("doc_id").desc_nulls_last(), F.col(tie))
     # One exchange of the texts: the window, the groups' first rows and the join below all read it.
-    placed = grouped.withColumn("_tie", F.xxhash64(*carried)).repartition("_g")
-    inside = placed.select(*df.columns, "_g", F.lead(F.struct(*carried)).over(w).alias("_next"))
+    placed = grouped.withColumn(tie, F.xxhash64(*carried)).repartition(g)
+    inside = placed.select(*df.columns, g, F.lead(F.struct(*carried)).over(w).alias(nxt))
     # One row a group: its first document's key, and the group that comes next.
-    heads = placed.groupBy("_g").agg(F.max_by(F.struct(*carried), F.struct("doc_id", F.bitwise_not("_tie"))).alias("_head"))
-    keys = df.select(group.alias("_g")).distinct()
-    down = Window.orderBy(F.col("_g").desc())
-    order = keys.select("_g", F.lead("_g").over(down).alias("_to"), F.max("_g").over(Window.partitionBy()).alias("_top"))
-    order = order.select("_g", F.coalesce("_to", "_top").alias("_to"))
-    links = order.join(heads.withColumnRenamed("_g", "_to"), "_to").select(F.col("_g").alias("_lg"), "_head")
-    closed = inside.join(links, (inside["_g"] == links["_lg"]) & F.col("_next").isNull(), "left").withColumn("_next", F.coalesce("_next", "_head"))
-    return closed.select(*df.columns, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in carried])
+    heads = placed.groupBy(g).agg(F.max_by(F.struct(*carried), F.struct("doc_id", F.bitwise_not(tie))).alias("_head"))
+    keys = grouped.select(g).distinct()  # MOST_GROUPS + 1 rows at most
+    order = keys.select(g, F.lead(g).over(Window.orderBy(F.col(g).desc())).alias("_to"), F.max(g).over(Window.partitionBy()).alias("_top"))
+    order = order.select(g, F.coalesce("_to", "_top").alias("_to"))
+    links = order.join(heads.withColumnRenamed(g, "_to"), "_to").select(F.col(g).alias(lg), "_head")
+    closed = inside.join(links, (inside[g] == links[lg]) & F.col(nxt).isNull(), "left").withColumn(nxt, F.coalesce(nxt, "_head"))
+    return closed.select(*df.columns, *[F.col(f"{nxt}.{c}").alias(f"next_{c}") for c in carried])
 
 
 def order_minhash(df: DataFrame) -> DataFrame:
