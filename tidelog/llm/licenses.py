@@ -11,7 +11,8 @@ in the row: there is no shuffle.
 Base phrases are counted word by word beside the rules and always give labels.
 
 Defined cases: a null or empty text has no words, no labels and score 0; texts of
-any length are scanned whole; other columns pass through ``license_scan``; an
+any length are scanned whole; other columns pass through ``license_scan``, but
+those that have the name of a new column; an
 empty table gives an empty result; equal texts give equal results.
 """
 
@@ -22,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import computed_once, documents, text_or_empty
+from .common import computed_once, documents, free_name, text_or_empty
 from .license_rules import GATES, RULES, Rule
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -87,6 +88,11 @@ def _matches(words: Column, rule: Column) -> Column:
     )
 
 
+def _all_matches(words: Column, rules: list[Rule]) -> Column:
+    """The intervals of all rules whose keyword is there."""
+    return F.flatten(F.transform(F.filter(_rule_table(rules), lambda r: F.contains(words, r["keyword"])), lambda r: _matches(words, r)))
+
+
 def _resolve(detections: Column) -> Column:
     """Drops what a detection of the same or a better tier contains."""
     ends = [f"e{i}" for i in range(TIERS)]
@@ -115,42 +121,41 @@ def _places(words: Column, split: Column, phrase: str) -> Column:
 def license_scan(df: DataFrame, text: str = "text", rules: list[Rule] = RULES) -> DataFrame:
     """``df`` with n_words, n_base, first_word, last_word, base_labels, labels, score
     and detections (first word, minus the end word, tier, rule, label, confidence)."""
-    form, names = "_form", df.columns
+    names = df.columns
     made = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "detections"]
-    kept = [c for c in names if c not in made]
+    kept = [c for c in names if c.lower() not in made]
+    form, parted, count, places, found, all_, base, best_of = (free_name(df, f"_{n}") for n in ("form", "split", "count", "places", "found", "all", "base", "kept"))
     step1 = df.select(*kept, word_form(text_or_empty(text)).alias(form))
     words = F.col(form)
     gate = _any(words, GATES)
     phrases = _any(words, [f" {p} " for p in BASE])
     none = F.array().cast("array<int>")
     split = F.split(F.trim(words), " ")
-    step2 = step1.withColumn("_split", F.when(phrases, split)).select(
+    step2 = step1.withColumn(parted, F.when(phrases, split)).select(
         *kept,
-        F.when(F.octet_length(words) <= 2, F.lit(0)).otherwise(_spaces(words) - 1).cast("long").alias("n_words"),
-        F.when(phrases, F.array(*[_places(words, F.col("_split"), p) for p in BASE])).otherwise(F.array(*[none] * len(BASE))).alias("_places"),
-        F.when(
-            computed_once(gate), F.flatten(F.transform(F.filter(_rule_table(rules), lambda r: F.contains(words, r["keyword"])), lambda r: _matches(words, r)))
-        ).otherwise(F.array().cast(_SPAN)).alias("_found"),
+        F.when(F.octet_length(words) <= 2, F.lit(0)).otherwise(_spaces(words) - 1).cast("long").alias(count),
+        F.when(phrases, F.array(*[_places(words, F.col(parted), p) for p in BASE])).otherwise(F.array(*[none] * len(BASE))).alias(places),
+        F.when(computed_once(gate), _all_matches(words, rules)).otherwise(F.array().cast(_SPAN)).alias(found),
     )
     step3 = step2.select(
         *kept,
-        "n_words",
-        F.flatten("_places").alias("_all"),
-        F.filter(F.array(*[F.when(F.size(F.get(F.col("_places"), i)) > 0, F.lit(label)) for i, label in enumerate(BASE.values())]), lambda x: x.isNotNull()).alias("_base"),
-        F.when(F.size("_found") > 0, _resolve(F.col("_found"))).otherwise(F.col("_found")).alias("detections"),
+        count,
+        F.flatten(places).alias(all_),
+        F.filter(F.array(*[F.when(F.size(F.get(F.col(places), i)) > 0, F.lit(label)) for i, label in enumerate(BASE.values())]), lambda x: x.isNotNull()).alias(base),
+        F.when(F.size(found) > 0, _resolve(F.col(found))).otherwise(F.col(found)).alias(best_of),
     )
-    by_rule = F.transform("detections", lambda d: d["label"])
-    best = F.array_max(F.concat(F.transform("detections", lambda d: d["confidence"]), F.array(F.when(F.size("_base") > 0, BASE_SCORE).otherwise(0.0))))
+    by_rule = F.transform(best_of, lambda d: d["label"])
+    best = F.array_max(F.concat(F.transform(best_of, lambda d: d["confidence"]), F.array(F.when(F.size(base) > 0, BASE_SCORE).otherwise(0.0))))
     return step3.select(
         *kept,
-        "n_words",
-        F.size("_all").cast("long").alias("n_base"),
-        F.array_min("_all").cast("long").alias("first_word"),
-        F.array_max("_all").cast("long").alias("last_word"),
-        F.array_join(F.sort_array("_base"), ",").alias("base_labels"),
-        F.array_join(F.sort_array(F.array_distinct(F.concat("_base", by_rule))), ",").alias("labels"),
+        F.col(count).alias("n_words"),
+        F.size(all_).cast("long").alias("n_base"),
+        F.array_min(all_).cast("long").alias("first_word"),
+        F.array_max(all_).cast("long").alias("last_word"),
+        F.array_join(F.sort_array(base), ",").alias("base_labels"),
+        F.array_join(F.sort_array(F.array_distinct(F.concat(base, by_rule))), ",").alias("labels"),
         best.cast("double").alias("score"),
-        "detections",
+        F.col(best_of).alias("detections"),
     )
 
 

@@ -3,8 +3,8 @@
 Every source has a weight, and all sources share ``share`` times the corpus.  A
 source never takes more than ``max_epochs`` times its size: it is clamped there
 and its excess goes to the others by weight, again and again until none is
-above.  That process has one fixed point, target = min(cap, level * weight); the
-level is found in one pass over the sources in order of cap / weight.
+above.  Each round is one aggregate over a table of one row a source; two numbers reach the driver.
+The ranks that weights go by come from a range partitioning by name and the partitions' counts.
 
 Inside a source each document is taken ``floor(target / size)`` whole times.
 The rest of the target is filled by seeded buckets of documents: buckets below
@@ -14,8 +14,8 @@ a source with a third of all rows is spread over all tasks.
 
 Defined cases: null text has size 0; a null source is a source of its own, the
 last one; an empty table gives an empty result; rows with equal ids are equal
-draws; other columns pass through, and a clash of names is resolved in favour
-of the new columns.
+draws; other columns pass through (``keep``), but those that have the name of a new
+column, which is the new one's; ``mixed_documents`` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, documents
+from .common import cut, documents, fetched, free_name, written
 from .text import WHITE, buffer_of, slices, spans
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -34,44 +34,90 @@ SHARE = 1.5
 MAX_EPOCHS = 2.0
 BUCKETS = 4096
 SEED = 20240229
-#: A plan of one row a source is broadcast up to so many sources, and shuffled beyond.
+#: A plan of one row a source is broadcast up to so many sources; beyond, it is joined by (source, salt).
 BROADCAST_SOURCES = 50_000
+SALTS = 16
+NEW = ("size", "source_size", "target", "whole", "extra", "taken")
 
 
 def word_count(col: Column) -> Column:
     return F.coalesce(F.regexp_count(col.cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def ranked(sizes: DataFrame, by: str) -> DataFrame:
+    """``sizes`` with _k: the rank of each row by a column, nulls last, from 0."""
+    placed = written(sizes.repartitionByRange(F.col(by).asc_nulls_last()).withColumn("_part", F.spark_partition_id()))
+    counts = fetched(placed.groupBy("_part").agg(F.count("*").alias("n")).orderBy("_part"))  # a row a partition
+    part, n = counts["_part"].to_numpy(), counts["n"].to_numpy()
+    bases = sizes.sparkSession.createDataFrame(list(zip(part.tolist(), (np.cumsum(n) - n).tolist())), "_q int, _base long")
+    inside = Window.partitionBy("_part").orderBy(F.col(by).asc_nulls_last())
+    out = placed.withColumn("_i", F.row_number().over(inside) - 1).join(F.broadcast(bases), F.col("_part") == F.col("_q"))
+    return out.select(*sizes.columns, (F.col("_base") + F.col("_i")).alias("_k"))
+
+
 def source_targets(
     sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS
 ) -> DataFrame:
     """From (source, source_size), one row a source: source, source_size, target.
-
-    Weights go to the sources by code point, null last, and repeat.  One row a
-    source is all that its windows see.
-    """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    ranked = sizes.withColumn("_k", F.row_number().over(by_name) - 1)
+    Weights go to the sources by code point, null last, and repeat."""
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("_k") % len(weights) + 1).cast("int"))
-    everything = Window.partitionBy()
-    by_ratio = Window.orderBy("_ratio", "_k").rowsBetween(Window.unboundedPreceding, -1)
-    level = (F.col("_total") - F.coalesce(F.sum("_cap").over(by_ratio), F.lit(0.0))) / (
-        F.col("_weights") - F.coalesce(F.sum("_w").over(by_ratio), F.lit(0.0))
+    rows = ranked(sizes, "source").select("source", "source_size", weight.alias("_w"), (F.col("source_size") * F.lit(float(max_epochs))).alias("_cap"))
+    rows = written(rows)
+    level, clamped = -1.0, -1
+    while True:
+        over = F.col("_cap") <= F.lit(level) * F.col("_w")
+        got = rows.agg(
+            F.sum("source_size").alias("all"), F.count(F.when(over, 1)).alias("n"),
+            F.coalesce(F.sum(F.when(over, F.col("_cap"))), F.lit(0.0)).alias("cap"), F.sum(F.when(~over, F.col("_w"))).alias("w"),
+        ).first()
+        if not got["w"] or got["n"] == clamped:  # all are clamped, or no further one
+            break
+        clamped = got["n"]
+        level = (got["all"] * float(share) - got["cap"]) / got["w"]
+    target = F.col("_cap") if not got["w"] else F.least(F.col("_cap"), F.lit(level) * F.col("_w"))
+    return rows.select("source", "source_size", target.alias("target"))
+
+
+def _draw(df: DataFrame, keep: list[str], weights: tuple[float, ...], share: float, max_epochs: float, seed: int) -> tuple[DataFrame, dict[str, str]]:
+    """``keep`` and the columns of NEW, the latter under names that ``df`` doesn't have."""
+    name = {c: free_name(df, f"_{c}") for c in (*NEW, "source", "bucket", "salt", "edge", "part")}
+    rows = df.select(
+        *[F.col(c) for c in keep],
+        F.col("doc_id").alias(free_name(df, "_id")),
+        F.col("source").alias(name["source"]),
+        word_count(F.col("text")).alias(name["size"]),
+        F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(BUCKETS)).cast("int").alias(name["bucket"]),
     )
-    return (
-        ranked.withColumn("_w", weight)
-        .withColumn("_cap", F.col("source_size") * F.lit(float(max_epochs)))
-        .withColumn("_ratio", F.col("_cap") / F.col("_w"))
-        .withColumn("_total", F.sum("source_size").over(everything) * F.lit(float(share)))
-        .withColumn("_weights", F.sum("_w").over(everything))
-        .withColumn("_level", level)
-        .withColumn("_open", F.min(F.when(F.col("_level") < F.col("_ratio"), F.struct("_ratio", "_k", "_level"))).over(everything))
+    base = rows if len(keep) > 1 else cut(rows)
+    sums = cut(base.groupBy(F.col(name["source"]).alias("source"), F.col(name["bucket"]).alias("bucket")).agg(F.sum(name["size"]).alias("bucket_size")))
+    targets = source_targets(sums.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, share, max_epochs)
+    running = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    b = sums.withColumn("upto", F.sum("bucket_size").over(running)).withColumnRenamed("source", "s")
+    rate = F.col("target") / F.col("source_size")
+    part = (F.col("need") - (F.col("upto") - F.col("bucket_size"))) / F.col("bucket_size")
+    # Of each source: the first bucket that is not taken whole once more, and the part of it that is.
+    plan = cut(
+        b.join(targets, b["s"].eqNullSafe(targets["source"]))
+        .withColumn("whole", F.when(F.col("source_size") > 0, F.floor(rate + F.lit(1e-12))).otherwise(F.lit(0)).cast("int"))
+        .withColumn("need", F.col("target") - F.col("whole") * F.col("source_size"))
+        .withColumn("part", F.when(F.col("bucket_size") > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), part))).otherwise(F.lit(1.0)))
+        .groupBy("s", "source_size", "target", "whole")
+        .agg(F.min(F.when(F.col("part") < 1, F.struct("bucket", "part"))).alias("edge"))
         .select(
-            "source",
-            "source_size",
-            F.coalesce(F.least(F.col("_cap"), F.col("_open._level") * F.col("_w")), F.col("_cap")).alias("target"),
+            F.col("s").alias(free_name(df, "_s")), F.col("source_size").alias(name["source_size"]), F.col("target").alias(name["target"]), F.col("whole").alias(name["whole"]),
+            F.coalesce("edge.bucket", F.lit(BUCKETS)).alias(name["edge"]), F.coalesce("edge.part", F.lit(0.0)).alias(name["part"]),
         )
     )
+    same = base[name["source"]].eqNullSafe(plan[free_name(df, "_s")])
+    if plan.count() <= BROADCAST_SOURCES:
+        out = base.join(F.broadcast(plan), same)
+    else:
+        salted = plan.withColumn(name["salt"], F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        out = base.join(salted, same & (base[name["bucket"]] % SALTS == salted[name["salt"]]))
+    bucket, edge, size = F.col(name["bucket"]), F.col(name["edge"]), F.col(name["size"])
+    extra = F.when(bucket < edge, size).when(bucket > edge, F.lit(0)).otherwise(F.round(size * F.col(name["part"]))).cast("long")
+    out = out.withColumn(name["extra"], extra)
+    return out.withColumn(name["taken"], (F.col(name["whole"]) * size + F.col(name["extra"])).cast("long")), name
 
 
 def mix_sources(
@@ -84,44 +130,9 @@ def mix_sources(
 ) -> DataFrame:
     """doc_id, size, source_size, target, whole (repetitions), extra (words of one
     more, partial or full, repetition) and taken (words in all), plus ``keep``."""
-    rows = df.select(
-        "doc_id",
-        *[F.col(c) for c in keep],
-        F.col("source").alias("_source"),
-        word_count(F.col("text")).alias("size"),
-        F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(BUCKETS)).cast("int").alias("_bucket"),
-    )
-    base = cut(rows.select("doc_id", "_source", "size", "_bucket"))
-    buckets = base.groupBy(F.col("_source").alias("source"), "_bucket").agg(F.sum("size").alias("_bucket_size"))
-    targets = source_targets(buckets.groupBy("source").agg(F.sum("_bucket_size").alias("source_size")), weights, share, max_epochs)
-    running = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    b = buckets.withColumn("_upto", F.sum("_bucket_size").over(running)).withColumnRenamed("source", "_s")
-    rate = F.col("target") / F.col("source_size")
-    part = (F.col("_need") - (F.col("_upto") - F.col("_bucket_size"))) / F.col("_bucket_size")
-    # Of each source: the first bucket that is not taken whole once more, and the part of it that is.
-    plan = cut(
-        b.join(targets, b["_s"].eqNullSafe(targets["source"]))
-        .withColumn("whole", F.when(F.col("source_size") > 0, F.floor(rate + F.lit(1e-12))).otherwise(F.lit(0)).cast("int"))
-        .withColumn("_need", F.col("target") - F.col("whole") * F.col("source_size"))
-        .withColumn("_part", F.when(F.col("_bucket_size") > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), part))).otherwise(F.lit(1.0)))
-        .groupBy("_s", "source_size", "target", "whole")
-        .agg(F.min(F.when(F.col("_part") < 1, F.struct("_bucket", "_part"))).alias("_edge"))
-        .select("_s", "source_size", "target", "whole", F.coalesce("_edge._bucket", F.lit(BUCKETS)).alias("_edge"), F.coalesce("_edge._part", F.lit(0.0)).alias("_part"))
-    )
-    small = plan.count() <= BROADCAST_SOURCES
-    chosen = rows if keep else base
-    out = chosen.join(F.broadcast(plan) if small else plan, chosen["_source"].eqNullSafe(plan["_s"]))
-    extra = F.when(F.col("_bucket") < F.col("_edge"), F.col("size")).when(F.col("_bucket") > F.col("_edge"), F.lit(0)).otherwise(F.round(F.col("size") * F.col("_part"))).cast("long")
-    return out.select(
-        "doc_id",
-        *keep,
-        "size",
-        "source_size",
-        "target",
-        "whole",
-        extra.alias("extra"),
-        (F.col("whole") * F.col("size") + extra).cast("long").alias("taken"),
-    )
+    others = [c for c in keep if c.lower() not in (*NEW, "doc_id")]
+    drawn, name = _draw(df, ["doc_id", *others], weights, share, max_epochs, seed)
+    return drawn.select("doc_id", *others, *[F.col(name[c]).alias(c) for c in NEW])
 
 
 def first_words(texts: pa.Array, limits: np.ndarray) -> list[str]:
@@ -137,28 +148,33 @@ def first_words(texts: pa.Array, limits: np.ndarray) -> list[str]:
     return out
 
 
-def _prefixes(batches):
-    for batch in batches:
-        i = batch.schema.get_field_index("text")
-        j = batch.schema.get_field_index("_limit")
-        limit = batch.column(j).to_numpy(zero_copy_only=False)
-        cols = [batch.column(k) for k in range(batch.num_columns) if k != j]
-        cols[i if i < j else i - 1] = pa.array(first_words(batch.column(i), limit), pa.string())
-        names = [n for k, n in enumerate(batch.schema.names) if k != j]
-        yield pa.RecordBatch.from_arrays(cols, names=names)
+def _prefixes(at: int):
+    """Rows with the column at ``at`` cut to the words that the last column allows."""
+
+    def run(batches):
+        for batch in batches:
+            limit = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
+            cols = batch.columns[:-1]
+            cols[at] = pa.array(first_words(batch.column(at), limit), pa.string())
+            yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names[:-1])
 
+    return run
 
-def mixed_documents(df: DataFrame, **options) -> DataFrame:
+
+def mixed_documents(
+    df: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS, seed: int = SEED
+) -> DataFrame:
     """The mix itself: each row as often as it is taken whole, and its first words
     once more where it is taken in part.  The columns of ``df`` are kept; rows
     taken no time at all are not in the mix."""
     names = df.columns
-    drawn = mix_sources(df, keep=tuple(c for c in names if c != "doc_id"), **options)
-    full = F.col("whole") + F.when(F.col("extra") == F.col("size"), 1).otherwise(0)
-    whole = drawn.withColumn("_n", full.cast("int")).where("_n > 0").select(*names, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i")).drop("_i")
-    part = drawn.where("extra > 0 AND extra < size").select(*names, F.col("extra").alias("_limit"))
-    part = part.mapInArrow(_prefixes, df.schema)
-    return whole.unionByName(part)
+    drawn, name = _draw(df, names, weights, share, max_epochs, seed)
+    whole, extra, size = (F.col(name[c]) for c in ("whole", "extra", "size"))
+    times, turn = free_name(df, "_times"), free_name(df, "_turn")
+    full = (whole + F.when(extra == size, 1).otherwise(0)).cast("int")
+    repeated = drawn.withColumn(times, full).where(F.col(times) > 0).select(*names, F.explode(F.sequence(F.lit(1), F.col(times))).alias(turn)).drop(turn)
+    part = drawn.where((extra > 0) & (extra < size)).select(*names, extra)
+    return repeated.unionByName(part.mapInArrow(_prefixes(names.index("text")), df.schema))
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

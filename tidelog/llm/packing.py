@@ -6,13 +6,19 @@ to four lengths that fill a window exactly are enumerated, their repeat counts
 are solved by non-negative least squares against the histogram of lengths and
 rounded down, and what is left is packed greedily, longest first, again on
 counts.  Pieces are then dealt to the places of that plan by their rank among
-the pieces of their length; ranks come from salted groups, so that a length with
-a third of all pieces is no single task.
+the pieces of their length; ranks come from salted groups, each length's number of salts in
+proportion to its pieces, so that a length with a third of all pieces is no single task.
+
+Pairs are all enumerated; triples and fours are thinned evenly to MAX_COLUMNS columns, which only
+concerns padding: what they leave is packed greedily.
+
+Ids are those of the library for the JSON file; a test holds the fast encoder, built from that file's vocabulary and
+merges, to the library on every entry of the vocabulary.
 
 The driver sees the histogram and the plan, both bounded by the window.
 
 Defined cases: a null text is empty and has the closing id only; an empty table
-gives an empty result; repeated rows are packed as often as they are there; an
+gives an empty result (only doc_id and text are read, so other columns do no harm); repeated rows are packed as often as they are there; an
 id stands in exactly one piece.
 """
 
@@ -27,12 +33,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import SPECIAL, tokenizer, tokens_of
-from .common import cut, documents, text_or_empty
+from .common import cut, documents, fetched, text_or_empty
 from .text import give_back
 
 WINDOW = 2048
 END_ID = 1
-SALTS = 64
+#: Pieces of one length are ranked in groups of about this share of all pieces, between these sizes.
+GROUP_SHARE = 4096
+GROUP_ROWS = (256, 1_000_000)
 MAX_COLUMNS = 24_000
 ROUNDS = 400
 
@@ -55,7 +63,7 @@ def encoder(path: str):
         try:
             return fast.encode_to_numpy(text, allowed_special=special)
         except BaseException as e:  # the encoder's panics are no Exception
-            if isinstance(e, (KeyboardInterrupt, SystemExit, MemoryError)):
+            if not isinstance(e, ValueError) and type(e).__name__ != "PanicException":
                 raise
             return np.array(tokenizer(path).encode(text, add_special_tokens=False).ids, np.uint32)
 
@@ -191,10 +199,12 @@ def plan(hist: np.ndarray) -> list[tuple[list[tuple[int, int]], int]]:
 def assign(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
     """``pieces`` (doc_id, start, length and more) with sequence_id and offset."""
     spark = pieces.sparkSession
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(SALTS)).cast("int"))
-    counts = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
-    counts = cut(counts)  # at most window * SALTS rows
-    by_length = {int(r["length"]): int(r["n"]) for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
+    found = fetched(pieces.groupBy("length").agg(F.count("*").alias("n")))  # at most a row a length
+    by_length = dict(zip(found["length"].to_pylist(), found["n"].to_pylist()))
+    group = min(max(GROUP_ROWS[0], sum(by_length.values()) // GROUP_SHARE), GROUP_ROWS[1])
+    salts = F.array(*[F.lit(1 + by_length.get(k, 0) // group) for k in range(window + 1)])
+    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "start"), F.element_at(salts, F.col("length") + 1)).cast("int"))
+    counts = cut(salted.groupBy("length", "_salt").agg(F.count("*").alias("_n")))
     hist = np.zeros(window, np.int64)
     for k, n in by_length.items():
         if k < window:

@@ -14,7 +14,9 @@ two index vectors, 0 on average otherwise).
 *Network.*  Fitted on at most FIT_ROWS labelled rows (the least by a hash of
 doc_id), never on rows held out; a tenth of them chooses the temperature.
 
-Only the text is an input.  Defined cases: a null or empty text has zero features
+The temperature comes from the rows trained on where the tenth has one label only.
+
+Only the text is an input, further columns of any name do no harm.  Defined cases: a null or empty text has zero features
 and the network's score for them; labels that are null, or contradict each other
 for a doc_id, are not learned from; without both labels the score is the share
 of label 1 (0.5 without any); an empty table gives an empty result.
@@ -210,7 +212,8 @@ def fit(df: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[np.ndar
         .orderBy(F.xxhash64("_id"), "_id")
         .limit(rows)
     )
-    got = df.join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))  # ``rows`` rows at most
+    texts = df.select(F.col("doc_id"), F.col("text"))
+    got = texts.join(F.broadcast(sample), texts["doc_id"] == sample["_id"])  # ``rows`` rows at most
     got = got.groupBy("_id").agg(F.min(text_or_empty()).alias("text"), F.first("_y").alias("_y"))
 
     def run(batches):

@@ -8,15 +8,16 @@ below a candidate meet the splitter's target within the tolerance or its bin
 holds one key.  Then the rows are exchanged once, each to its shard's part.
 
 Equal texts have equal hashes, so they lie together; a group of copies larger
-than a shard is split by doc_id, as the key goes on with it.  Shards are cut
-into parts of few rows whose counts are known from the last histogram, so slots
-are numbered inside a part and a shard is never one task.
+than a shard is split by doc_id, as the key goes on with it.  The same search cuts each shard
+into parts of about equal bytes, whose counts are known from the last histogram: slots
+are numbered inside a part, so neither a shard nor a large group of copies is one task (rows that
+are equal in text and doc_id can't be told apart and are).
 
-What reaches the driver is one histogram, shards * (probes + 2) rows at most.
+What reaches the driver is one histogram, shards * (parts * (inner probes + 2) + probes) rows at most.
 
 Defined cases: null text has no bytes and hash of the empty text; a null doc_id
 sorts first; rows with equal keys lie in one shard, in any order; an empty table
-gives an empty result; further columns pass through.
+gives an empty result; further columns pass through (``keep``), but those that have the name of a new column.
 """
 
 from __future__ import annotations
@@ -27,13 +28,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, documents, fetched, text_or_empty
+from .common import cut, documents, fetched, free_name, text_or_empty
 
 ROW_BYTES = 16
 SHARDS = 40
 PROBES = 24
 TOLERANCE = 0.0005
 PARTS = 16
+#: Parts within a shard need not be equal: their tolerance is a share of a part, and they take fewer probes.
+PART_TOLERANCE = 0.2
+PART_PROBES = 4
 _ROUNDS = 64
 
 
@@ -107,12 +111,12 @@ def histogram(keys: DataFrame, probes: list[int]) -> pd.DataFrame:
     return out
 
 
-def splitters(keys: DataFrame, shards: int, tolerance: float = TOLERANCE, probes: int = PROBES) -> list[int]:
-    """The first keys of shards 1 to shards - 1 (rows with a key below the first
-    splitter are in shard 0): bytes below each are as near its share as the
-    tolerance, a fraction of one shard, asks, or as near as one row allows."""
-    space = 1 << 128
-    cand = [space * i // (shards * 4) for i in range(1, shards * 4)]
+def splitters(keys: DataFrame, shards: int, parts: int = 1, tolerance: float = TOLERANCE, probes: int = PROBES) -> list[int]:
+    """The first keys of all parts but the first (every ``parts``-th is that of a shard; rows with a key below the
+    first splitter are in part 0): bytes below a shard's are as near its share as the
+    tolerance, a fraction of one shard, asks, or as near as one row allows; those of parts inside as PART_TOLERANCE."""
+    space, pieces = 1 << 128, shards * parts
+    cand = [space * i // (pieces * 2) for i in range(1, pieces * 2)]
     total, chosen, brackets = None, {}, {}
     for _ in range(_ROUNDS):
         cand = sorted(set(cand))
@@ -120,8 +124,8 @@ def splitters(keys: DataFrame, shards: int, tolerance: float = TOLERANCE, probes
         if total is None:
             total = int(hist["bytes"].sum())
             if not total:
-                return [space - 1] * (shards - 1)
-            targets = {s: total * s / shards for s in range(1, shards)}
+                return [space - 1] * (pieces - 1)
+            targets = {s: total * s / pieces for s in range(1, pieces)}
             brackets = {s: (0, 0, space, total) for s in targets}  # key, bytes below it, twice
         bounds = [0, *cand, space]
         below, seen = [0] * len(bounds), 0
@@ -145,12 +149,14 @@ def splitters(keys: DataFrame, shards: int, tolerance: float = TOLERANCE, probes
             if i in inside and lo_key <= inside[i][1] and inside[i][2] < hi_key:
                 lo_key, hi_key = inside[i][1], inside[i][2] + 1
             best = min(((abs(lo_below - t), lo_key), (abs(hi_below - t), hi_key)))
-            if best[0] <= tolerance * total / shards or hi_key - lo_key <= 1:
+            inner = s % parts > 0
+            if best[0] <= (PART_TOLERANCE * total / pieces if inner else tolerance * total / shards) or hi_key - lo_key <= 1:
                 chosen[s] = best[1]
                 continue
             brackets[s] = (lo_key, lo_below, hi_key, hi_below)
             width = hi_key - lo_key
-            cand += [lo_key + max(1, width * j // (probes + 1)) for j in range(1, probes + 1) if max(1, width * j // (probes + 1)) < width] + [hi_key]
+            count = PART_PROBES if inner else probes
+            cand += [lo_key + max(1, width * j // (count + 1)) for j in range(1, count + 1) if max(1, width * j // (count + 1)) < width] + [hi_key]
             edge = (lo_key | ((1 << 64) - 1)) + 1  # a whole group of copies, where that is near enough
             if lo_key < edge < hi_key:
                 cand.append(edge)
@@ -169,27 +175,26 @@ def splitters(keys: DataFrame, shards: int, tolerance: float = TOLERANCE, probes
 def shard(df: DataFrame, shards: int = SHARDS, keep: tuple[str, ...] = (), parts: int = PARTS) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot and the columns of ``keep``."""
     text = text_or_empty()
+    keep = tuple(c for c in keep if c.lower() not in ("doc_id", "size", "text_crc32", "shard", "slot"))
+    size, crc, h, d, part, slot, q, base_name, shard_name = (free_name(df, n) for n in ("_size", "_crc", "_h", "_d", "_part", "_slot", "_q", "_base", "_shard"))
     rows = df.select(
         F.col("doc_id"),
         *[F.col(c) for c in keep],
-        (F.octet_length(text) + F.lit(ROW_BYTES)).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.xxhash64(text).alias("_h"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_d"),
+        (F.octet_length(text) + F.lit(ROW_BYTES)).cast("long").alias(size),
+        F.crc32(text.cast("binary")).alias(crc),
+        F.xxhash64(text).alias(h),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias(d),
     )
     narrow = cut(rows) if not keep else rows
-    keys = narrow.select("_h", "_d", "size") if not keep else cut(rows.select("_h", "_d", "size"))
-    found = splitters(keys, shards)
-    # Parts: the splitters and even cuts of the key space between them.
-    bounds = sorted({*found, *[(1 << 128) * i // (shards * parts) for i in range(1, shards * parts)]})
+    keys = narrow.select(h, d, size) if not keep else cut(rows.select(h, d, size))
+    bounds = splitters(keys, shards, parts)
     hist = histogram(keys, bounds)
     counts = dict(zip(hist["bin"].astype(int), hist["n"].astype(int)))
-    shard_of, base, seen, at = [], [], 0, 0
-    edges = [0, *bounds]
-    for i, edge in enumerate(edges):
-        while at < len(found) and edge >= found[at]:
-            at, seen = at + 1, 0
-        shard_of.append(at)
+    # Splitters that are equal have empty parts between them: a row's part is the last one whose first key it reaches.
+    shard_of, base, seen = [], [], 0
+    for i in range(shards * parts):
+        seen = 0 if i % parts == 0 else seen
+        shard_of.append(i // parts)
         base.append(seen)
         seen += counts.get(i, 0)
     ph, pd_ = _split(bounds)
@@ -198,15 +203,16 @@ def shard(df: DataFrame, shards: int = SHARDS, keep: tuple[str, ...] = (), parts
     def part_of(h: pd.Series, d: pd.Series) -> pd.Series:
         return pd.Series(_bins(h.to_numpy(), d.to_numpy(), ph, pd_).astype("int32"))
 
-    spark = df.sparkSession
-    table = spark.createDataFrame(
-        pd.DataFrame({"_q": np.arange(len(edges), dtype="int32"), "shard": np.array(shard_of, "int32"), "_base": np.array(base, "int64")}),
-        "_q int, shard int, _base long",
+    table = df.sparkSession.createDataFrame(
+        pd.DataFrame({"q": np.arange(shards * parts, dtype="int32"), "shard": np.array(shard_of, "int32"), "base": np.array(base, "int64")}),
+        f"{q} int, {shard_name} int, {base_name} long",
+    )
+    order = Window.partitionBy(part).orderBy(h, d, crc)
+    placed = narrow.withColumn(part, part_of(h, d)).withColumn(slot, F.row_number().over(order) - 1)
+    out = placed.join(F.broadcast(table), placed[part] == table[q])  # shards * parts rows
+    return out.select(
+        "doc_id", *keep, F.col(size).alias("size"), F.col(crc).alias("text_crc32"), F.col(shard_name).alias("shard"), (F.col(base_name) + F.col(slot)).cast("long").alias("slot")
     )
-    order = Window.partitionBy("_part").orderBy("_h", "_d", "text_crc32")
-    placed = narrow.withColumn("_part", part_of("_h", "_d")).withColumn("_slot", F.row_number().over(order) - 1)
-    out = placed.join(F.broadcast(table), placed["_part"] == table["_q"])  # shards * (parts + 1) rows at most
-    return out.select("doc_id", *keep, "size", "text_crc32", "shard", (F.col("_base") + F.col("_slot")).cast("long").alias("slot"))
 
 
 def op4_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
