@@ -38,10 +38,17 @@ def empty(spark):
     return spark.createDataFrame([], BODY)
 
 
+#: Names that operators use themselves, for results or on the way.
+OWN_NAMES = """
+n_words n_base first_word last_word base_labels labels score detections _form _split _count _places _found _all _base _kept
+n_bytes n_tokens over_limit held_out predicted _score _id _y x quality toxic size shard slot law grown_shard _size _crc _h _d _part _slot _q _shard
+payload media feature sig edited fingerprint next_text next_sig _u _r _f _e _p _c _g _lg _tie _next
+start length ids ids_crc32 doc_tokens sequence_id offset _salt _rank target taken whole extra source_size bucket _bucket _source _s _edge _times _turn _target _taken
+doc node _node _gone _row _text _other component hub weight h1 h2 n a b key text_key _key _spans _mine spans slice seeds docs places kind end hash
+""".split()
+
+
 @pytest.fixture(scope="session")
 def clashing(odd):
-    """Further columns with names that operators use themselves."""
-    out = odd
-    for name in ("n_words", "labels", "score", "shard", "slot", "size", "target", "_h", "_u", "sig", "rank", "whole"):
-        out = out.selectExpr("*", f"'x' AS {name}")
-    return out
+    """Further columns with all names that operators use themselves."""
+    return odd.selectExpr("*", *[f"'x' AS `{name}`" for name in OWN_NAMES])

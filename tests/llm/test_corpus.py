@@ -8,10 +8,11 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tidelog.llm import common, jaccard, links, mixing, quality, sharding, substring
+from tidelog.llm import common, jaccard, licenses, links, media, mixing, order_minhash, packing, quality, sharding, substring, tokens
 from tidelog.llm.entries import ORACLE_SQL, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -113,6 +114,30 @@ def test_signatures_are_shared():
                 assert jaccard.least_difference(*wide) <= len(x) + len(y) - 2 * both
 
 
+def test_small_unrelated_sets_share_no_bucket():
+    """4,000 random sets of each size: no signature is common to many, and none is of no feature."""
+    rng = np.random.default_rng(36)
+    for n in range(1, 29):
+        value = rng.integers(0, 1 << 63, 4000 * n, dtype=np.int64).astype(np.uint64)
+        value = np.sort(value.reshape(4000, n), axis=1).reshape(-1)
+        sig, doc = jaccard.signatures(value, np.arange(4001) * n)
+        pairs = np.unique(np.stack([sig, doc.astype(np.uint64)], axis=1), axis=0)
+        assert np.unique(pairs[:, 0], return_counts=True)[1].max() <= 5, n
+        assert len(np.unique(doc)) == 4000
+
+
+def test_rows_of_one_doc_id_with_different_texts(spark):
+    """Each text keeps its links; one row a doc_id stays, always the same."""
+    rng = random.Random(37)
+    a, b, c = (" ".join(some_words(rng, 60)) for _ in range(3))
+    rows = [(1, a, "x"), (2, a + " more", "y"), (2, b, "z"), (3, b + " more", "x"), (4, c, "x"), (4, c + " w " * 60, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, node string")
+    got = {(r["doc_id"], r["component_id"]) for r in jaccard.jaccard_components(df).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 4)}
+    kept = [sorted(map(tuple, jaccard.one_of_each(df.repartition(n)).collect())) for n in (1, 4)]
+    assert kept[0] == kept[1] and [r[0] for r in kept[0]] == [1, 4]
+
+
 def test_shared_runs_over_batches():
     import pyarrow as pa
 
@@ -531,6 +556,42 @@ def test_chains_and_alignment():
             assert got == pytest.approx(top)
 
 
+def _values(df, columns):
+    return Counter(str([repr(r[c]) for c in columns]) for r in df.collect())
+
+
+@pytest.mark.parametrize("name", ["licenses", "tokens", "quality", "shard", "shard_keep", "media", "minhash", "passages", "pack", "mix", "jaccard"])
+def test_names_of_further_columns(spark, odd, clashing, name):
+    """Operators give the same results whatever further columns are named."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    run = {
+        "licenses": licenses.license_scan, "tokens": lambda d: tokens.count_tokens(d, path), "quality": lambda d: quality.classify(d, labels),
+        "shard": lambda d: sharding.shard(d, 3), "shard_keep": lambda d: sharding.shard(d, 3, keep=tuple(c for c in d.columns if c != "doc_id")),
+        "media": media.media_columns, "minhash": order_minhash.order_minhash, "passages": substring.shared_passages,
+        "pack": lambda d: packing.pack(d, path), "mix": lambda d: mixing.mix_sources(d, keep=tuple(d.columns)), "jaccard": jaccard.jaccard_components,
+    }[name]
+    plain = odd.where("doc_id IS NOT NULL AND doc_id NOT IN (3, 6)")
+    more = clashing.where("doc_id IS NOT NULL AND doc_id NOT IN (3, 6)")
+    a, b = run(plain), run(more)
+    assert _values(a, a.columns) == _values(b, a.columns)
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_pipeline_stages_on_odd_tables(spark, odd, empty, clashing, stage, tmp_path_factory):
+    """Stages keep columns of any name, and take nulls, repeated rows and empty tables."""
+    import corpus_pipeline as pipe
+
+    folder = str(tmp_path_factory.mktemp("stage"))
+    spark.createDataFrame([(i, int(i not in (1, 4)), 0) for i in range(20)], "doc_id long, quality int, toxic int").write.mode("overwrite").parquet(f"{folder}/labels.parquet")
+    run = pipe.STAGES[stage][1]
+    a, b = run(spark, odd, folder), run(spark, clashing, folder)
+    if stage < 4:
+        assert a.columns == odd.columns and b.columns == clashing.columns
+    assert _values(a.drop("sequence_id", "offset"), [c for c in a.columns if c not in ("sequence_id", "offset")]) == _values(b, [c for c in a.columns if c not in ("sequence_id", "offset")])
+    assert run(spark, empty, folder).count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline as pipe
 

@@ -3,20 +3,23 @@
 Two texts are linked when the Jaccard likeness of their sets of K-word shingles is
 at least 80 / 100.  Sets in one scheme (a band of sizes and the band below) that
 are so alike differ in at most k = 2 * u / 9 features, u being the band's
-greatest size.  The feature domain is partitioned by hash:
+greatest size.  The feature domain is partitioned by hash, and subsets of parts are enumerated:
 
-* large bands: into k + 1 + spare parts, of which 1 + spare at least are equal;
-  every part is a signature;
-* small bands: into groups of four parts, so many that spare + 1 groups at least
+* k = 0: the whole set is the one signature;
+* small bands: groups of four parts, so many that spare + 1 groups at least
   differ in one part or none; every three of a group's four parts together are
-  a signature.
+  a signature;
+* large bands: k + 1 + spare parts, of which 1 + spare at least are equal;
+  every part is a signature (PartEnum with k + 1 first-level parts, where the second level has one part only).
 
-Empty signatures are left out where a set has no more of them (or of groups with
-one) than ``spare``: then one of the equal ones is not empty.  So linked sets
-always share a signature, and sets without a common feature almost never do.
+A signature of no feature is left out.  A set that has more of them (or of groups with
+one) than ``spare`` is partitioned again by another hash, beside the first, up to ROUNDS times: of two linked
+sets, if one is not so empty in some round, a signature with features is equal in that round, and if both are,
+they meet in the next.  So linked sets always share a signature, and sets without a common feature share one
+only where ROUNDS partitions all fail.
 
 Buckets of signatures with the same members count as one.  Sets that share one
-are compared exactly: first each with the hub (least member) that it shares most
+are compared by the 64-bit hashes of all their features: first each with the hub (least member) that it shares most
 signatures with; then with its other hubs, where they are in other components;
 then, in buckets that still hold more than one component, all pairs of different
 components that sizes and 1024-bit parity sketches (a lower bound of the sets'
@@ -25,8 +28,9 @@ copies are never paired off.
 
 Defined cases: a null or empty text, or one without words, has an empty set and
 is linked with nothing; a text of fewer than K words has its whole sequence as
-its one shingle; rows with equal doc_id are one node; a row with a null doc_id
-is in no link and has component null; an empty table gives an empty result.
+its one shingle; rows with equal doc_id are one node, with the links of each of their texts; a row with a null doc_id
+is in no link and has component null; an empty table gives an empty result; only doc_id and text are read, so
+further columns of any name do no harm (``one_of_each`` keeps them).
 """
 
 from __future__ import annotations
@@ -37,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, documents, text_or_empty
+from .common import cut, documents, free_name, text_or_empty
 from .links import IdBits, components, meet_at_hubs
 from .text import LOWER, WHITE, buffer_of, distinct, doc_of, hash_spans, mix, shingles, slices, spans
 
@@ -69,6 +73,9 @@ IS_SMALL = DIFFER <= SMALL_K
 # Small schemes: groups of four parts; large ones: parts.  The more are expected to be empty, the more are spare.
 SPARE = np.where(IS_SMALL, np.where(DIFFER <= 2, 0, 1 + DIFFER // 8), 4 + DIFFER * 18 // 100)
 PARTS = np.where(IS_SMALL, DIFFER // 2 + 1 + SPARE, DIFFER + 1 + SPARE)
+ROUNDS = 12
+#: A group of equal sets with more than 1 / HOT of all rows is told to all tasks; there are fewer than HOT.
+HOT = 2000
 
 
 def sets_of(buf: np.ndarray, off: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
@@ -123,46 +130,53 @@ def signatures(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
     """(signature, document) of every signature of every set."""
     size = np.diff(first)
     band = np.searchsorted(BAND_LO, size, "right") - 1
-    out_sig, out_doc = [], []
-    part_hash = mix(value ^ np.uint64(0x8CB92BA72F3D8DD7))
     feature = mix(value + np.uint64(0xD1B54A32D192ED03))
     doc_all = doc_of(first)
+    out_sig, out_doc = [], []
+    whole = np.flatnonzero((size > 0) & (DIFFER[band] == 0))  # the band above has sets of other sizes only, or k > 0
+    if len(whole):
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(feature)])
+        out_sig.append(mix(sums[first[whole + 1]] - sums[first[whole]] + size[whole].astype(np.uint64)))
+        out_doc.append(whole)
     for up in (0, 1):
         for small in (True, False):
-            scheme = band + up
-            docs = np.flatnonzero((size > 0) & (IS_SMALL[np.minimum(scheme, len(IS_SMALL) - 1)] == small))
-            if not len(docs):
-                continue
-            chosen = np.zeros(len(size), bool)
-            chosen[docs] = True
-            pick = chosen[doc_all]
-            dense = np.zeros(len(size), np.int64)
-            dense[docs] = np.arange(len(docs))
-            d = dense[doc_all[pick]]
-            sch = scheme[docs]
-            parts, spare = PARTS[sch].astype(np.int64), SPARE[sch]
-            width = parts * (4 if small else 1)
-            base = np.concatenate([[0], np.cumsum(width)])
-            where = part_hash[pick]
-            at = (where >> np.uint64(32)).astype(np.int64) % parts[d]
-            if small:
-                at = at * 4 + (where & np.uint64(3)).astype(np.int64)
-            at += base[d]
-            acc, n = np.zeros(int(base[-1]), np.uint64), np.bincount(at, minlength=int(base[-1]))
-            np.add.at(acc, at, feature[pick])
-            owner = np.repeat(np.arange(len(docs)), width)
-            number = np.arange(len(acc)) - base[owner]
-            if small:
-                quad, quad_n = acc.reshape(-1, 4), n.reshape(-1, 4)
-                acc = (quad.sum(axis=1, keepdims=True) - quad).reshape(-1)
-                n = (quad_n.sum(axis=1, keepdims=True) - quad_n).reshape(-1)
-                bad = np.add.reduceat((n.reshape(-1, 4) == 0).any(axis=1).astype(np.int64), base[:-1] // 4)
-            else:
-                bad = np.add.reduceat((n == 0).astype(np.int64), base[:-1])
-            keep = (n > 0) | (bad > spare)[owner]
-            salt = (sch[owner].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64)
-            out_sig.append(mix(acc[keep] + mix(salt[keep] * np.uint64(2) + np.uint64(small))))
-            out_doc.append(docs[owner[keep]])
+            scheme = np.minimum(band + up, len(IS_SMALL) - 1)
+            docs = np.flatnonzero((size > 0) & (DIFFER[scheme] > 0) & (IS_SMALL[scheme] == small))
+            for turn in range(ROUNDS):
+                if not len(docs):
+                    break
+                chosen = np.zeros(len(size), bool)
+                chosen[docs] = True
+                pick = chosen[doc_all]
+                dense = np.zeros(len(size), np.int64)
+                dense[docs] = np.arange(len(docs))
+                d = dense[doc_all[pick]]
+                sch = scheme[docs]
+                parts, spare = PARTS[sch].astype(np.int64), SPARE[sch]
+                width = parts * (4 if small else 1)
+                base = np.concatenate([[0], np.cumsum(width)])
+                where = mix(value[pick] ^ np.uint64(0x8CB92BA72F3D8DD7 + turn))
+                at = (where >> np.uint64(32)).astype(np.int64) % parts[d]
+                if small:
+                    at = at * 4 + (where & np.uint64(3)).astype(np.int64)
+                at += base[d]
+                acc, n = np.zeros(int(base[-1]), np.uint64), np.bincount(at, minlength=int(base[-1]))
+                np.add.at(acc, at, feature[pick])
+                owner = np.repeat(np.arange(len(docs)), width)
+                number = np.arange(len(acc)) - base[owner]
+                if small:
+                    quad, quad_n = acc.reshape(-1, 4), n.reshape(-1, 4)
+                    acc = (quad.sum(axis=1, keepdims=True) - quad).reshape(-1)
+                    n = (quad_n.sum(axis=1, keepdims=True) - quad_n).reshape(-1)
+                    bad = np.add.reduceat((n.reshape(-1, 4) == 0).any(axis=1).astype(np.int64), base[:-1] // 4)
+                else:
+                    bad = np.add.reduceat((n == 0).astype(np.int64), base[:-1])
+                poor = bad > spare
+                keep = (n > 0) | poor[owner] if turn == ROUNDS - 1 else n > 0
+                salt = (np.uint64(turn) << np.uint64(56)) + (sch[owner].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64)
+                out_sig.append(mix(acc[keep] + mix(salt[keep] * np.uint64(2) + np.uint64(small))))
+                out_doc.append(docs[owner[keep]])
+                docs = docs[poor]
     if not out_sig:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return np.concatenate(out_sig), np.concatenate(out_doc)
@@ -278,42 +292,51 @@ def _sets(bits: IdBits):
             ids, (buf, off) = part.column(0), buffer_of(part.column(1))
             for lo, hi in slices(off):
                 value, first = sets_of(buf[off[lo] : off[hi]], off[lo : hi + 1] - off[lo])
-                short = value.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5]  # 40 bits tell the features of two sets apart
-                raw = [short[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
+                raw = [value[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
                 yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(raw, pa.binary())], names=["node", "features"])
 
     return run
 
 
-def _features(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 5, 8), np.uint8)
-    out[:, 3:] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
-    return out.view(">u8").reshape(-1).astype(np.uint64)
-
-
 def _compare(batches):
-    hub, held = None, None
+    """Intersections and unions of sets with those of their hub, of which rows of one doc_id may have several."""
+    hub, held = None, []
     for batch in batches:
         a, b, same, either = [], [], [], []
         names = batch.schema.names
         cols = [batch.column(names.index(c)) for c in ("_hub", "_kind", "_value", "doc", "features")]
         for h, kind, value, doc, features in zip(cols[0].to_pylist(), cols[1].to_pylist(), cols[2], cols[3].to_pylist(), cols[4]):
             if kind == 0:
-                hub, held = h, _features(value.as_py())
-                continue
-            x = _features(features.as_py())
-            if h != hub or not len(x) or not len(held):
+                held = held if h == hub else []
+                hub = h
+                held.append(np.frombuffer(value.as_py(), np.uint64))
                 continue
-            at = np.searchsorted(held, x)
-            at[at == len(held)] = len(held) - 1
-            n = int((held[at] == x).sum())
-            a.append(h)
-            b.append(doc)
-            same.append(n)
-            either.append(len(x) + len(held) - n)
+            x = np.frombuffer(features.as_py(), np.uint64)
+            for one in held if h == hub and len(x) else ():
+                if not len(one):
+                    continue
+                at = np.searchsorted(one, x)
+                at[at == len(one)] = len(one) - 1
+                n = int((one[at] == x).sum())
+                a.append(h)
+                b.append(doc)
+                same.append(n)
+                either.append(len(x) + len(one) - n)
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, same, either)], names=["a", "b", "both", "either"])
 
 
+def equal_sets(full: DataFrame) -> DataFrame:
+    """(a, b) of each document b and the least document a with the same set, a < b.  Groups with a large
+    share of all rows, of which there can be few only, are told to all tasks; the others are joined."""
+    key = ["h1", "h2", "n"]
+    same = cut(full.groupBy(*key).agg(F.min("doc").alias("a"), F.max("doc").alias("_z"), F.count("*").alias("_c")).where("a <> _z"))
+    limit = full.count() // HOT
+    hot, rest = same.where(F.col("_c") > limit).select("a", *key), same.where(F.col("_c") <= limit).select("a", *key)
+    large = full.join(F.broadcast(hot), key)  # fewer than HOT rows
+    small = full.join(F.broadcast(hot.select(*key)), key, "left_anti").join(rest, key)
+    return large.select("a", "doc").union(small.select("a", "doc")).withColumnRenamed("doc", "b").where("a <> b")
+
+
 class Join:
     """The join's state: documents, their digests, and signatures that several share."""
 
@@ -321,24 +344,24 @@ class Join:
         rows = df.select(F.col("doc_id").cast("long").alias("doc"), text_or_empty().alias("text")).where("doc IS NOT NULL")
         self.rows = rows
         self.info = cut(rows.mapInArrow(_info, _INFO))
-        same = self.info.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc").alias("a"), F.max("doc").alias("_z")).where("a <> _z")
-        full = self.info.where("n > 0")
-        self.equal = cut(full.join(same.select("a", "h1", "h2", "n"), ["h1", "h2", "n"]).select("a", F.col("doc").alias("b")).where("a <> b").distinct())
+        self.equal = cut(equal_sets(self.info.where("n > 0")).distinct())
         found = rows.mapInArrow(_signature_rows, "sig long, doc long")
         runs = found.repartition("sig").sortWithinPartitions("sig", "doc").mapInArrow(_shared_runs, "sig long, doc long, hub long, size long")
         self.shared = cut(runs.groupBy("sig", "doc", "hub", "size").agg(F.count("*").alias("weight")))
 
+    def digests(self, prefix: str, name: str) -> DataFrame:
+        """One row a doc_id; without a digest (null) where its rows have different sets."""
+        one = F.min("h1") == F.max("h1")
+        cols = self.info.groupBy("doc").agg(*[F.when(one, F.min(c)).alias(f"{prefix}_{c}") for c in ("n", *_SKETCH)])
+        return cols.withColumnRenamed("doc", name)
+
     def plausible(self, pairs: DataFrame) -> DataFrame:
         """(a, b) pairs, a < b, without those that sizes or sketches rule out."""
-        cols = ["n", *_SKETCH]
-        one = self.info.groupBy("doc").agg(*[F.min(c).alias(c) for c in cols])
-        x = one.select(F.col("doc").alias("a"), *[F.col(c).alias(f"x_{c}") for c in cols])
-        y = one.select(F.col("doc").alias("b"), *[F.col(c).alias(f"y_{c}") for c in cols])
-        return pairs.join(x, "a").join(y, "b").where(_may_link(F.col)).select("a", "b")
+        return pairs.join(self.digests("x", "a"), "a").join(self.digests("y", "b"), "b").where(_may_link(F.col)).select("a", "b")
 
     def sifted(self, pairs: DataFrame) -> DataFrame:
         """Pairs without those of large sets that the wide sketches rule out."""
-        wide = self.info.where("wide IS NOT NULL").groupBy("doc").agg(F.min(F.struct("n", "wide")).alias("w"))
+        wide = self.info.groupBy("doc").agg(F.when(F.min("h1") == F.max("h1"), F.min(F.struct("n", "wide"))).alias("w")).where("w.wide IS NOT NULL")
         x = wide.select(F.col("doc").alias("a"), F.col("w").alias("x"))
         y = wide.select(F.col("doc").alias("b"), F.col("w").alias("y"))
 
@@ -362,8 +385,9 @@ class Join:
 
 
 def _may_link(c):
+    """Whether two digests may be linked; true where one is null."""
     odd = sum((F.bit_count(c(f"x_s{i}").bitwiseXOR(c(f"y_s{i}"))) for i in range(1, SKETCH)), F.bit_count(c("x_s0").bitwiseXOR(c("y_s0"))))
-    return (c("x_n") * 5 >= c("y_n") * 4) & (c("y_n") * 5 >= c("x_n") * 4) & (odd * 9 <= c("x_n") + c("y_n"))
+    return F.coalesce((c("x_n") * 5 >= c("y_n") * 4) & (c("y_n") * 5 >= c("x_n") * 4) & (odd * 9 <= c("x_n") + c("y_n")), F.lit(True))
 
 
 def jaccard_links(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -385,10 +409,9 @@ def jaccard_links(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     comp = components(links)
     rest = cut(_mixed(j.shared.where("size > 2"), comp))  # of two members, one is the hub
     cols = ["n", *_SKETCH]
-    one = j.info.groupBy("doc").agg(*[F.min(c).alias(c) for c in cols])
-    rest = cut(rest.join(one, "doc"))
-    x = rest.select("sig", F.col("doc").alias("a"), F.col("comp").alias("x_comp"), *[F.col(c).alias(f"x_{c}") for c in cols])
-    y = rest.select(F.col("sig").alias("y_sig"), F.col("doc").alias("b"), F.col("comp").alias("y_comp"), *[F.col(c).alias(f"y_{c}") for c in cols])
+    rest = cut(rest.join(j.digests("x", "doc"), "doc"))
+    x = rest.select("sig", F.col("doc").alias("a"), F.col("comp").alias("x_comp"), *[f"x_{c}" for c in cols])
+    y = rest.select(F.col("sig").alias("y_sig"), F.col("doc").alias("b"), F.col("comp").alias("y_comp"), *[F.col(f"x_{c}").alias(f"y_{c}") for c in cols])
     pairs = x.join(y, (F.col("sig") == F.col("y_sig")) & (F.col("a") < F.col("b")) & (F.col("x_comp") != F.col("y_comp")) & _may_link(F.col))
     pairs = pairs.select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
     got = j.verify(pairs)
@@ -425,11 +448,15 @@ def jaccard_components(df: DataFrame) -> DataFrame:
 
 def one_of_each(df: DataFrame) -> DataFrame:
     """The rows of ``df`` whose doc_id is their component's least one (rows of a null
-    doc_id stay), and of rows with equal doc_id one."""
+    doc_id stay), and of rows with equal doc_id the one whose text has the least hash."""
     _, _, comp = jaccard_links(df)
-    gone = comp.where("node <> component").select("node")
-    kept = df.join(gone, df["doc_id"] == gone["node"], "left_anti")
-    single = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    node, gone_name, row, text, other = (free_name(df, n) for n in ("_node", "_gone", "_row", "_text", "_other"))
+    gone = comp.where("node <> component").select(F.col("node").alias(gone_name))
+    kept = df.join(gone, df["doc_id"] == gone[gone_name], "left_anti")
+    whole = kept.where("doc_id IS NOT NULL").select(
+        F.col("doc_id").alias(node), F.struct(*kept.columns).alias(row), F.xxhash64(text_or_empty()).alias(text), F.xxhash64(*kept.columns).alias(other)
+    )
+    single = whole.groupBy(node).agg(F.min_by(row, F.struct(text, other)).alias(row)).select(*[F.col(row)[c].alias(c) for c in kept.columns])
     return single.unionByName(kept.where("doc_id IS NULL"))
 
 
