@@ -568,7 +568,7 @@ def test_names_of_further_columns(spark, odd, clashing, name):
     run = {
         "licenses": licenses.license_scan, "tokens": lambda d: tokens.count_tokens(d, path), "quality": lambda d: quality.classify(d, labels),
         "shard": lambda d: sharding.shard(d, 3), "shard_keep": lambda d: sharding.shard(d, 3, keep=tuple(c for c in d.columns if c != "doc_id")),
-        "media": media.media_columns, "minhash": order_minhash.order_minhash, "passages": substring.shared_passages,
+        "media": media.text_media, "minhash": order_minhash.order_minhash, "passages": substring.shared_passages,
         "pack": lambda d: packing.pack(d, path), "mix": lambda d: mixing.mix_sources(d, keep=tuple(d.columns)), "jaccard": jaccard.jaccard_components,
     }[name]
     plain = odd.where("doc_id IS NOT NULL AND doc_id NOT IN (3, 6)")
