@@ -19,7 +19,8 @@ from tokenizers import Tokenizer
 
 from tidelog.llm import licenses, media, order_minhash, packing, tokens
 from tidelog.llm.bpe import vocabulary
-from tidelog.llm.license_rules import GATES, RULES
+from tidelog.llm.license_clauses import TEXTS
+from tidelog.llm.license_rules import CLAUSES, GATES, RULES
 from tidelog.llm.text import buffer_of
 from tidelog.llm.entries import QUERIES
 
@@ -85,7 +86,7 @@ def test_license_rules_are_gated():
                 out += "x"
         return out
 
-    assert len(RULES) > 300
+    assert len(RULES) > 600 and len({c[3] for c in [*CLAUSES, *TEXTS]}) > 300
     for r in RULES:
         for _ in range(25):
             text = f" {some(sre.parse(r.pattern))} "

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from .license_clauses import TEXTS
+
 
 class Rule(NamedTuple):
     id: int
@@ -193,6 +195,7 @@ def build() -> list[Rule]:
         rows.append((label, 2, f"cc {short}", f"cc {short}", 0.7))
         rows.append((label, 0, "spdx license identifier", f"spdx license identifier cc {short} [1-4] [05]", 1.0))
     rows += CLAUSES
+    rows += TEXTS
     return [Rule(i, *r) for i, r in enumerate(rows)]
 
 
@@ -203,5 +206,7 @@ GATES = [
     "licen", " reserved ", " cc by ", " cc0 ", "openrail", "open rail", " creative commons ", "creativecommons", " copyright ", " permission ", " redistributions ", " endorse or ", " advertising materials ",
     " bsd ", " mit no attribution ", " mulan psl", " boost org ", " gnu org ", " mozilla org ", " free software foundation ", " openssl ", " public domain ", " proprietary ", " unauthorized copying ",
     " trade secret", " warrant", " merchantability ", " in no event ", " as is ", "commercial ", "use only ", "purposes only ", " no part of ", " associated documentation files ",
+    " product includes software ", " this software ", " the software ", " x consortium ", " window system ", " good and not evil ", " buy me a beer ", " works is permitted ", " just do what the ", " source and binary forms ",
+    " display the following ", " attribution notices ", " verbatim copies ", " classpath exception ", " copyrighted ", " object code ", " commons clause ", " by installing ", " permissions ",
     " alle rechte ", " tous droits ", " todos los derechos ", " software and ",
 ]
