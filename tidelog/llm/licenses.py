@@ -18,6 +18,7 @@ empty table gives an empty result; equal texts give equal results.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 BASE_SCORE = 0.6
 TIERS = 4
+_RULE_FIELDS = ("id", "label", "tier", "keyword", "pattern", "confidence")
+_RULE_TABLE = "array<struct<id:int,label:string,tier:int,keyword:string,pattern:string,confidence:double>>"
 _SPAN = "array<struct<first:int,minus_end:int,tier:int,rule:int,label:string,confidence:double>>"
 
 
@@ -54,14 +57,9 @@ def _any(text: Column, literals: list[str]) -> Column:
 
 
 def _rule_table(rules: list[Rule]) -> Column:
-    rows = [
-        F.struct(
-            F.lit(r.id).alias("id"), F.lit(r.label).alias("label"), F.lit(r.tier).alias("tier"), F.lit(r.keyword).alias("keyword"),
-            F.lit(f"(?<= )(?:{r.pattern})(?= )").alias("pattern"), F.lit(float(r.confidence)).alias("confidence"),
-        )
-        for r in rules
-    ]
-    return F.array(*rows)
+    """The rules as one literal (which the optimizer folds): quicker to plan than a column for each field."""
+    rows = [dict(zip(_RULE_FIELDS, (r.id, r.label, r.tier, r.keyword, f"(?<= )(?:{r.pattern})(?= )", float(r.confidence)))) for r in rules]
+    return F.from_json(F.lit(json.dumps(rows)), _RULE_TABLE)
 
 
 def _matches(words: Column, rule: Column) -> Column:
