@@ -175,11 +175,13 @@ def test_components(spark):
     assert got == {k: v for k, v in parent.items() if any(k in e and e[0] != e[1] for e in edges)}
 
 
-def test_jaccard_oracle(spark):
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_oracles(spark, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
-    want = sorted(con.sql(ORACLE_SQL["op10_jaccard_join"]).select("doc_id, n_shingles, component_id").fetchall())
-    assert sorted(map(tuple, QUERIES["op10_jaccard_join"](spark, SMALL).select("doc_id", "n_shingles", "component_id").collect())) == want
+    got = QUERIES[name](spark, SMALL)
+    names = ", ".join(got.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(con.sql(f"SELECT {names} FROM ({ORACLE_SQL[name]})").fetchall())
 
 
 def fill_by_hand(sizes, weights):

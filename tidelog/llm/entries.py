@@ -27,6 +27,35 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op9_mix_sources": r"""
+WITH docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    ('0x' || substr(md5(concat_ws(':', doc_id::VARCHAR, '20240229')), 1, 3))::INT AS bucket FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source
+), ranked AS (
+  SELECT source, source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k FROM sources
+), weighed AS (
+  SELECT source, source_size, k, CASE k % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END::DOUBLE AS w, source_size::DOUBLE * 2 AS cap FROM ranked
+), levels AS (
+  SELECT cap / w AS ratio, k, ((sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE - coalesce(sum(cap) OVER before, 0)) / ((sum(w) OVER ()) - coalesce(sum(w) OVER before, 0)) AS level
+  FROM weighed WINDOW before AS (ORDER BY cap / w, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), filled AS (
+  SELECT source, source_size, least(cap, coalesce((SELECT level FROM levels WHERE level < ratio ORDER BY ratio, k LIMIT 1) * w, cap)) AS target FROM weighed
+), whole AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size::DOUBLE + 1e-12::DOUBLE) ELSE 0 END::BIGINT AS whole FROM filled
+), buckets AS (
+  SELECT source, bucket, sum(size)::DOUBLE AS n, (sum(sum(size)) OVER (PARTITION BY source ORDER BY bucket))::DOUBLE AS upto FROM docs GROUP BY source, bucket
+), parts AS (
+  SELECT b.source, b.bucket, CASE WHEN n > 0 THEN greatest(0::DOUBLE, least(1::DOUBLE, ((target - (whole * source_size)::DOUBLE) - (upto - n)) / n)) ELSE 1 END AS part
+  FROM buckets b JOIN whole w ON b.source IS NOT DISTINCT FROM w.source
+), edges AS (
+  SELECT source, min(bucket) AS edge, arg_min(part, bucket) AS part FROM parts WHERE part < 1 GROUP BY source
+)
+SELECT d.doc_id, d.size, w.source_size, w.target,
+  (w.whole * d.size + CASE WHEN d.bucket < coalesce(e.edge, 4096) THEN d.size WHEN d.bucket > e.edge THEN 0 ELSE round(d.size * e.part) END)::BIGINT AS taken
+FROM docs d JOIN whole w ON d.source IS NOT DISTINCT FROM w.source LEFT JOIN edges e ON d.source IS NOT DISTINCT FROM e.source
+""",
     "op10_jaccard_join": r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, documents, free_name, text_or_empty
-from .links import IdBits, components, meet_at_hubs
+from .links import IdBits, components, join_hot, meet_at_hubs
 from .text import LOWER, WHITE, buffer_of, distinct, doc_of, hash_spans, mix, shingles, slices, spans
 
 K = 5
@@ -74,8 +74,6 @@ IS_SMALL = DIFFER <= SMALL_K
 SPARE = np.where(IS_SMALL, np.where(DIFFER <= 2, 0, 1 + DIFFER // 8), 4 + DIFFER * 18 // 100)
 PARTS = np.where(IS_SMALL, DIFFER // 2 + 1 + SPARE, DIFFER + 1 + SPARE)
 ROUNDS = 12
-#: A group of equal sets with more than 1 / HOT of all rows is told to all tasks; there are fewer than HOT.
-HOT = 2000
 
 
 def sets_of(buf: np.ndarray, off: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
@@ -326,15 +324,10 @@ def _compare(batches):
 
 
 def equal_sets(full: DataFrame) -> DataFrame:
-    """(a, b) of each document b and the least document a with the same set, a < b.  Groups with a large
-    share of all rows, of which there can be few only, are told to all tasks; the others are joined."""
-    key = ["h1", "h2", "n"]
-    same = cut(full.groupBy(*key).agg(F.min("doc").alias("a"), F.max("doc").alias("_z"), F.count("*").alias("_c")).where("a <> _z"))
-    limit = full.count() // HOT
-    hot, rest = same.where(F.col("_c") > limit).select("a", *key), same.where(F.col("_c") <= limit).select("a", *key)
-    large = full.join(F.broadcast(hot), key)  # fewer than HOT rows
-    small = full.join(F.broadcast(hot.select(*key)), key, "left_anti").join(rest, key)
-    return large.select("a", "doc").union(small.select("a", "doc")).withColumnRenamed("doc", "b").where("a <> b")
+    """(a, b) of each document b and the least document a with the same set, a < b."""
+    keyed = full.select("doc", F.struct("h1", "h2", "n").alias("set"))
+    least = keyed.groupBy("set").agg(F.min("doc").alias("a"), F.max("doc").alias("_z")).where("a <> _z").select("set", "a")
+    return join_hot(keyed, "set", cut(least)).select("a", F.col("doc").alias("b")).where("a <> b")
 
 
 class Join:
@@ -357,7 +350,7 @@ class Join:
 
     def plausible(self, pairs: DataFrame) -> DataFrame:
         """(a, b) pairs, a < b, without those that sizes or sketches rule out."""
-        return pairs.join(self.digests("x", "a"), "a").join(self.digests("y", "b"), "b").where(_may_link(F.col)).select("a", "b")
+        return join_hot(cut(pairs), "a", self.digests("x", "a")).join(self.digests("y", "b"), "b").where(_may_link(F.col)).select("a", "b")
 
     def sifted(self, pairs: DataFrame) -> DataFrame:
         """Pairs without those of large sets that the wide sketches rule out."""

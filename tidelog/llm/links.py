@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from .common import cut, fetched, written
 
 BITS = 24
-HUB_ROWS = 256
+HUB_ROWS = 64
+#: A key with more than 1 / HOT of all rows is told to all tasks; there are fewer than HOT.
+HOT = 2000
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -51,6 +53,17 @@ def components(edges: DataFrame) -> DataFrame:
     return mapping.select("node", F.col("to").alias("component"))
 
 
+def join_hot(rows: DataFrame, key: str, side: DataFrame) -> DataFrame:
+    """``rows`` (computed already) joined with ``side``, which has one row a key.  Keys with a large share
+    of the rows, of which there can be few only, are told to all tasks; the others are joined."""
+    hot = cut(rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > rows.count() // HOT).select(key))
+    if hot.isEmpty():
+        return rows.join(side, key)
+    few = F.broadcast(hot)  # fewer than HOT rows
+    large = rows.join(F.broadcast(side.join(few, key, "left_semi")), key)
+    return large.unionByName(rows.join(few, key, "left_anti").join(side, key))
+
+
 class IdBits:
     """A set of ids with false positives, in 2^bits bits."""
 

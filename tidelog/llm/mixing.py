@@ -32,7 +32,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MAX_EPOCHS = 2.0
-BUCKETS = 4096
+BUCKET_DIGITS = 3
+BUCKETS = 16**BUCKET_DIGITS
 SEED = 20240229
 #: A plan of one row a source is broadcast up to so many sources; beyond, it is joined by (source, salt).
 BROADCAST_SOURCES = 50_000
@@ -86,7 +87,7 @@ def _draw(df: DataFrame, keep: list[str], weights: tuple[float, ...], share: flo
         F.col("doc_id").alias(free_name(df, "_id")),
         F.col("source").alias(name["source"]),
         word_count(F.col("text")).alias(name["size"]),
-        F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(BUCKETS)).cast("int").alias(name["bucket"]),
+        F.conv(F.substring(F.md5(F.concat_ws(":", F.col("doc_id"), F.lit(seed)).cast("binary")), 1, BUCKET_DIGITS), 16, 10).cast("int").alias(name["bucket"]),
     )
     base = rows if len(keep) > 1 else cut(rows)
     sums = cut(base.groupBy(F.col(name["source"]).alias("source"), F.col(name["bucket"]).alias("bucket")).agg(F.sum(name["size"]).alias("bucket_size")))
