@@ -10,11 +10,11 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Settings of own actions: Arrow batches of whole texts hold fewer rows and bytes, and shuffle files go as
+BATCH_BYTES = "4m"
+#: Settings of own actions: Arrow batches are bounded by bytes, and shuffle files go as
 #: soon as what was computed from them is written.
 ACTION_SETTINGS = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+    "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES,
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
@@ -76,7 +76,16 @@ def fetched(df: DataFrame):
         return df.toArrow()
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """For queries and stages, which are applications: their session's Arrow batches are bounded by bytes, where
+    the session has Spark's default.  Operators leave the session as it is."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, "64m").rstrip("b") in ("64m", "67108864"):
+        spark.conf.set(name, BATCH_BYTES)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
