@@ -354,7 +354,7 @@ class Join:
 
     def sifted(self, pairs: DataFrame) -> DataFrame:
         """Pairs without those of large sets that the wide sketches rule out."""
-        wide = self.info.groupBy("doc").agg(F.when(F.min("h1") == F.max("h1"), F.min(F.struct("n", "wide"))).alias("w")).where("w.wide IS NOT NULL")
+        wide = self.info.groupBy("doc").agg(F.when(F.min("h1") == F.max("h1"), F.min(F.struct("n", "wide"))).alias("w"))  # of every document
         x = wide.select(F.col("doc").alias("a"), F.col("w").alias("x"))
         y = wide.select(F.col("doc").alias("b"), F.col("w").alias("y"))
 
@@ -362,13 +362,13 @@ class Join:
         def difference(one: pd.Series, two: pd.Series) -> pd.Series:
             return pd.Series([0 if p is None or q is None else least_difference(p, q) for p, q in zip(one, two)], dtype="int64")
 
-        both = pairs.join(x, "a", "left").join(y, "b", "left")
+        both = join_hot(pairs, "a", x).join(y, "b")
         far = F.coalesce(difference("x.wide", "y.wide") * 9 > F.col("x.n") + F.col("y.n"), F.lit(False))
         return both.where(~far).select("a", "b")
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """(a, b, both, either) of pairs: sizes of the sets' intersection and union."""
-        pairs = cut(self.sifted(pairs))
+        pairs = cut(self.sifted(cut(pairs)))
         if pairs.isEmpty():
             return self.rows.sparkSession.createDataFrame([], _VERIFIED)
         bits = IdBits(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
