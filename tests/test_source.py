@@ -220,3 +220,94 @@ def test_empty_folder(spark, tmp_path):
     path = str(tmp_path / "log")
     frames.write_log(spark.createDataFrame([], "id int"), path, "db.t")
     assert planner.end_position(Folder(path)) == ("", 0) and frames.rows(spark, path).count() == 0
+
+
+def _plain_log(folder, transactions, gtids, rows=8, blob=200, name="log.000001"):
+    """A file of inserts in transactions, with or without GTIDs."""
+    import pyarrow as pa
+
+    from tidelog.sources.encoder import LogWriter, table_of
+
+    schema = pa.schema([("id", pa.int64()), ("s", pa.string())])
+    w = LogWriter(table_of("db", "t", schema, {}, []), rows_per_event=4, events_per_transaction=2)
+    if not gtids:
+        w.log.begin = lambda time=0: w.log.add(EVENT["query"], bytes(8) + b"\0" + bytes(4) + b"\0" + b"BEGIN", time)
+    for i in range(transactions):
+        ids = list(range(i * rows, (i + 1) * rows))
+        w.add(pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([f"{k:04d}" * (blob // 4) for k in ids])], schema=schema))
+    folder.write(name, w.log.bytes())
+    return transactions * rows
+
+
+@pytest.mark.parametrize("gtids", [True, False])
+def test_ranges_are_settled_in_tasks(spark, tmp_path, gtids):
+    """Whatever a file's size and kind, planning reads little of it, and ranges hold all transactions once."""
+    folder = Folder(str(tmp_path / "log"))
+    n = _plain_log(folder, 300, gtids)
+    folder.write(".next", b"log.000001")
+    read = []
+
+    class Counting(Folder):
+        def read(self, name, start=0, size=None):
+            got = super().read(name, start, size)
+            read.append(len(got))
+            return got
+
+    found = planner.plan(Counting(folder.path), None, None, 20_000)
+    assert len(found) > 20 and sum(read) < 500
+    exact = [planner.settled(folder, r) for r in found]
+    assert exact[0].start == 4 and exact[-1].end == folder.size("log.000001")
+    assert all(a.end == b.start for a, b in zip(exact, exact[1:]))
+    t = frames.table(spark, folder.path, "db.t", rangeBytes=20_000)
+    assert keys(t) == list(range(n)) and keys(frames.table(spark, folder.path, "db.t", rangeBytes=20_000, windowBytes=700)) == list(range(n))
+    assert keys(frames.table(spark, folder.path, "db.t", windowBytes=64)) == list(range(n))
+
+
+def test_many_files_and_a_large_one(spark, tmp_path):
+    folder = Folder(str(tmp_path / "log"))
+    total, last = 0, ""
+    for i in range(300):
+        name = f"log.{i:06d}"
+        total += _plain_log(folder, 200 if i == 150 else 1, i % 2 == 0, name=name)
+        folder.write(f"{last}.next", name.encode())
+        last = name
+    found = planner.plan(folder, None, None, 20_000)
+    assert len(found) > 310 and len([r for r in found if r.file == "log.000150"]) > 10
+    assert frames.table(spark, folder.path, "db.t", rangeBytes=20_000).count() == total
+
+
+def test_files_of_bounded_size_and_overwrite(spark, rows, tmp_path):
+    path = str(tmp_path / "log")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        frames.write_log(rows.coalesce(1), path, "db.t", fileBytes=2000)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    old = planner.list_files(Folder(path))
+    assert len(old) > 5 and keys(frames.table(spark, path, "db.t")) == list(range(1000))
+    frames.write_log(rows.where("id < 10").coalesce(1), path, "db.t", mode="overwrite")
+    assert keys(frames.table(spark, path, "db.t")) == list(range(10))
+    assert sorted(f for f in os.listdir(path) if f.startswith("log.")) == [f"log.{len(old) + 1:06d}"]
+
+
+def test_follow(spark, rows, tmp_path):
+    path, lines = str(tmp_path / "log"), []
+    frames.write_log(rows.coalesce(1), path, "db.t")
+    maintenance.follow(spark, path, lines.append, str(tmp_path / "state"), once=True).awaitTermination()
+    seen = len(lines)
+    assert seen == frames.events(spark, path).count() and "formatDescription" in lines[0]
+    frames.write_log(rows.where("id < 5").coalesce(1), path, "db.t")
+    maintenance.follow(spark, path, lines.append, str(tmp_path / "state"), once=True).awaitTermination()
+    assert len(lines) == frames.events(spark, path).count() > seen
+
+
+def test_json_days_that_are_not_in_the_calendar():
+    from tidelog.functions.names import TYPE
+    from tidelog.sources import binjson
+
+    def packed(year, month, day):
+        return ((((year * 13 + month) << 5 | day) << 17) << 24).to_bytes(8, "little", signed=True)
+
+    assert binjson._opaque(TYPE["dateTime"], packed(2021, 2, 28)) == "2021-02-28T00:00:00Z"
+    for bad in ((2021, 2, 30), (0, 1, 1), (2021, 0, 0)):
+        assert binjson._opaque(TYPE["date"], packed(*bad)) is None

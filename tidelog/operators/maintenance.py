@@ -34,7 +34,7 @@ def copy_log(spark: SparkSession, source: str, target: str, start: str | None =
                 for pos, _, n in hop(a, name):
                     end = pos + n
                 if b.size(name) != end:
-                    b.write(name, a.read(name, 0, end))
+                    a.copy(name, b, end)
                 done.append((name, end))
             yield pd.DataFrame(done, columns=["file", "bytes"])
 
@@ -59,6 +59,24 @@ def prune_first(path: str) -> str:
     return names[0]
 
 
+def follow(spark: SparkSession, path: str, show, checkpoint: str, once: bool = False, **options):
+    """A streaming query that gives each new event's line (as ``view``) to ``show``, in log order within a batch."""
+    log = frames.events(spark, path, stream=True, **options)
+
+    def each(batch: DataFrame, _: int) -> None:
+        for r in event_lines(batch).orderBy("file_seq", "start_pos").toLocalIterator():
+            show(r["line"])
+
+    writer = log.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 second")).start()
+
+
+def event_lines(log: DataFrame) -> DataFrame:
+    """file_seq, start_pos and one line an event."""
+    head = F.format_string("%s %s:0x%04x %-17s", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"), F.col("log_file"), F.col("next_pos"), F.col("event_name"))
+    return log.select("file_seq", "start_pos", F.rtrim(head).alias("line"))
+
+
 def latest(path: str) -> tuple[str, int]:
     return end_position(Folder(path))
 

@@ -6,6 +6,7 @@ read back through the data source; the SQL computes the same from the tables alo
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import os
 import tempfile
@@ -16,9 +17,9 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs
 from ..operators import frames, maintenance
+from ..sources import events as events_module
 from ..sources.files import Folder
 
-VERSION = "1"
 ROWS_PER_EVENT = 256
 EVENTS_PER_TRANSACTION = 8
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -28,6 +29,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 def base_folder(spark: SparkSession) -> str:
     """Where logs are kept: beside the checkpoints that all executors share."""
     shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     shared = shared or os.path.join(tempfile.gettempdir(), "tidelog")
     return shared[5:] if shared.startswith("file:") and "://" not in shared else shared.replace("file://", "")
 
@@ -36,9 +39,29 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tables_state(sf_dir: str) -> str:
+    """Sizes and times of the table files: other data is another log."""
+    if not os.path.isdir(sf_dir):
+        return ""
+    return ",".join(f"{e.name}:{e.stat().st_size}:{e.stat().st_mtime_ns}" for e in sorted(os.scandir(sf_dir), key=lambda e: e.name))
+
+
+@functools.cache
+def _code_state() -> str:
+    """A hash of what encodes logs: another encoder is another log."""
+    folder = os.path.dirname(os.path.abspath(events_module.__file__))
+    seen = hashlib.md5()
+    for name in ("encoder.py", "events.py", "values.py", "tablemap.py", "decimals.py", "binjson.py", "datasource.py"):
+        with open(os.path.join(folder, name), "rb") as f:
+            seen.update(f.read())
+    with open(os.path.abspath(__file__), "rb") as f:
+        seen.update(f.read())
+    return seen.hexdigest()
+
+
 def cached(spark: SparkSession, sf_dir: str, name: str, build) -> str:
     """The folder of a log, built by ``build(path)`` where it isn't there yet."""
-    key = hashlib.md5(f"{VERSION}:{sf_dir}".encode()).hexdigest()[:12]
+    key = hashlib.md5(f"{sf_dir}:{_tables_state(sf_dir)}:{_code_state()}".encode()).hexdigest()[:12]
     root = f"{base_folder(spark)}/logs-{key}"
     path = f"{root}/{name}"
     if not Folder(path).has("_done"):

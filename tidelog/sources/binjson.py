@@ -112,9 +112,10 @@ def _opaque(kind: int, body: bytes):
             total = ((((whole >> 12 & 0x3FF) * 60 + m) * 60 + s) * 1_000_000 + micros) * 1000
             return -total if v < 0 else total
         year, month, day = (whole >> 22) // 13, (whole >> 22) % 13, whole >> 17 & 31
-        if not month or not day:
+        try:
+            at = datetime(year, month, day, h, m, s, tzinfo=timezone.utc)
+        except ValueError:  # a zero date, or a day that isn't in the calendar: null, as in a column
             return None
-        at = datetime(year, month, day, h, m, s, tzinfo=timezone.utc)
         return at.strftime("%Y-%m-%dT%H:%M:%S") + (f".{micros:06d}".rstrip("0") if micros else "") + "Z"
     return body.decode("utf-8", "replace")
 

@@ -4,11 +4,12 @@ Options for reading: ``path``; ``mode`` (``events``, ``rows`` or ``table``); ``t
 (``db.table``, of mode ``table``); ``startingPosition`` (``earliest``, ``latest``, ``FILE``
 or ``FILE:POS``); ``endingPosition``; ``rangeBytes``; ``verify`` (checksums, on by
 default); ``lookback`` (take in the table maps before the start); ``payload`` (bodies
-of events); ``maxFilesPerBatch``.
+of events); ``windowBytes`` (what a task holds of its range at a time).
 
 Options for writing: ``path``, ``database``, ``table``, ``types`` (JSON by column), ``key``,
 ``rowsPerEvent``, ``eventsPerTransaction``, ``checksum``, ``metadata`` (``full`` or
-``minimal``), ``time``, ``imageColumns`` (the only columns that images hold).
+``minimal``), ``time``, ``imageColumns`` (the only columns that images hold), ``fileBytes`` (a task
+begins another file when its file has so many).
 """
 
 from __future__ import annotations
@@ -33,9 +34,10 @@ from pyspark.sql.types import StructType
 from ..plans.planner import RANGE_BYTES, Range, list_files, plan, resolve
 from .encoder import LogWriter, table_of
 from .files import Folder
-from .scan import EVENTS_SCHEMA, ROWS_SCHEMA, RangeScan, first_table_map, scan_events, scan_rows, scan_table, table_schema
+from .scan import EVENTS_SCHEMA, ROWS_SCHEMA, WINDOW, RangeScan, first_table_map, scan_events, scan_rows, scan_table, table_schema
 
 NAME = "tidelog"
+FILE_BYTES = 128 << 20
 
 
 class Options(dict):
@@ -78,13 +80,14 @@ class Scanner:
         return to_arrow_schema(self.schema)
 
     def scan(self, r: Range):
-        s = RangeScan(self.folder, r, _on(self.options, "verify", True), _on(self.options, "lookback", False))
-        if self.mode == "events":
-            yield from scan_events(s, self.types, _on(self.options, "payload", True))
-        elif self.mode == "table":
-            yield from scan_table(s, self.options["table"], self.arrow())
-        else:
-            yield from scan_rows(s, self._wanted if self.types or self.tables or self.schemas else None)
+        scan = RangeScan(self.folder, r, _on(self.options, "verify", True), _on(self.options, "lookback", False), int(self.options.get("windowBytes", WINDOW)))
+        for s in scan.windows():
+            if self.mode == "events":
+                yield from scan_events(s, self.types, _on(self.options, "payload", True))
+            elif self.mode == "table":
+                yield from scan_table(s, self.options["table"], self.arrow())
+            else:
+                yield from scan_rows(s, self._wanted if self.types or self.tables or self.schemas else None)
 
     def _wanted(self, t, h) -> bool:
         return (self.types is None or h.type in self.types) and (self.tables is None or t.table in self.tables) and (self.schemas is None or t.schema in self.schemas)
@@ -132,65 +135,76 @@ class PushingLogReader(LogReader):
 
 @dataclass
 class Written(WriterCommitMessage):
-    file: str
+    files: list[str]
     rows: int
 
 
 class FolderWriter(DataSourceArrowWriter):
-    """Each task writes one file; the commit gives them names and links in order."""
+    """Each task writes files of a bounded size; the commit gives them names and links in order."""
 
     def __init__(self, options: dict, schema: StructType, overwrite: bool):
         self.options, self.schema, self.overwrite = Options(options), schema, overwrite
         self.run = uuid.uuid4().hex[:12]
 
+    def _log(self, batch: pa.RecordBatch) -> LogWriter:
+        o, fields = self.options, batch.schema
+        if {"op", "before", "after"} <= set(fields.names):
+            fields = list(fields.field("after").type)
+        t = table_of(o.get("database", "db"), o.get("table", "t"), fields, json.loads(o.get("types", "{}")), [k for k in o.get("key", "").split(",") if k])
+        return LogWriter(t, int(o.get("rowsPerEvent", 256)), int(o.get("eventsPerTransaction", 8)), _on(o, "checksum", True), o.get("metadata", "full") == "full", int(o.get("time", 0)), images=[c for c in o.get("imageColumns", "").split(",") if c])
+
     def write(self, iterator):
         from pyspark import TaskContext
 
-        o = self.options
-        number = TaskContext.get().partitionId()
-        log, rows = None, 0
+        number, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex[:8]
+        limit, folder = int(self.options.get("fileBytes", FILE_BYTES)), Folder(self.options["path"])
+        log, rows, files = None, 0, []
+
+        def put() -> None:
+            files.append(f"new-{self.run}-{number:06d}-{attempt}-{len(files):06d}")
+            folder.write(files[-1], log.log.bytes())
+
         for batch in iterator:
-            if log is None:
-                fields = batch.schema
-                if {"op", "before", "after"} <= set(fields.names):
-                    fields = list(fields.field("after").type)
-                t = table_of(o.get("database", "db"), o.get("table", "t"), fields, json.loads(o.get("types", "{}")), [k for k in o.get("key", "").split(",") if k])
-                log = LogWriter(t, int(o.get("rowsPerEvent", 256)), int(o.get("eventsPerTransaction", 8)), _on(o, "checksum", True), o.get("metadata", "full") == "full", int(o.get("time", 0)), images=[c for c in o.get("imageColumns", "").split(",") if c])
+            if not batch.num_rows:
+                continue
+            if log is not None and log.log.pos >= limit:
+                put()
+                log = None
+            log = log or self._log(batch)
             log.add(batch)
             rows += batch.num_rows
-        if log is None or not rows:
-            return Written("", 0)
-        name = f"new-{self.run}-{number:06d}-{uuid.uuid4().hex[:8]}"
-        Folder(o["path"]).write(name, log.log.bytes())
-        return Written(name, rows)
+        if log is not None:
+            put()
+        return Written(files, rows)
 
     def commit(self, messages):
+        """Links new files behind the old ones.  An overwrite links the new chain first, lets the folder's
+        first link go over to it at once, and then removes the old files: a reader sees one chain or the other."""
         folder = Folder(self.options["path"])
         old = list_files(folder) if folder.exists() else []
-        if self.overwrite:
-            for name in old:
-                folder.remove(name)
-                if folder.has(f"{name}.next"):
-                    folder.remove(f"{name}.next")
-            if folder.has(".next"):
-                folder.remove(".next")
-            old = []
         number = max([int(n.rsplit(".", 1)[1]) for n in old if n.rsplit(".", 1)[-1].isdigit()] or [0])
-        last = old[-1] if old else ""
-        for m in sorted((m for m in messages if m and m.file), key=lambda m: m.file):
+        names = []
+        for new in sorted(f for m in messages if m for f in m.files):
             number += 1
-            name = f"log.{number:06d}"
-            folder.rename(m.file, name)
-            folder.write(f"{last}.next", name.encode())
-            last = name
-        if not last:
-            folder.write(".next", b"")
+            names.append(f"log.{number:06d}")
+            folder.rename(new, names[-1])
+        for a, b in zip(names, names[1:]):
+            folder.write(f"{a}.next", b.encode())
+        if self.overwrite or not old:
+            folder.write(".next", names[0].encode() if names else b"")
+        elif names:
+            folder.write(f"{old[-1]}.next", names[0].encode())
+        for name in old if self.overwrite else ():
+            folder.remove(name)
+            if folder.has(f"{name}.next"):
+                folder.remove(f"{name}.next")
 
     def abort(self, messages):
         folder = Folder(self.options["path"])
         for m in messages:
-            if m and m.file and folder.has(m.file):
-                folder.remove(m.file)
+            for name in m.files if m else ():
+                if folder.has(name):
+                    folder.remove(name)
 
 
 class LogSource(DataSource):

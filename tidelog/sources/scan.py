@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
 
 from ..functions.names import DELETE_ROWS, ROWS, UPDATE_ROWS, event_name, op_name
-from ..plans.planner import FIRST, Range, file_format
-from .events import FORMAT, TABLE_MAP, Format, Header, checksum_ok, decode_format, describe, iterate
+from ..plans.planner import FIRST, Range, file_format, settled
+from .events import FORMAT, TABLE_MAP, Format, Header, checksum_ok, decode_format, describe, iterate, read_header
 from .files import Folder
 from .rows import DUMMY_TABLE, ImageScanner, decode_rows_header, version_of
 from .tablemap import Column, TableMap, decode_table_map
 from .values import arrow_type, as_text
 
 BATCH_ROWS = 16384
+#: Bytes of a range that a task holds at a time, or one event where that is larger.
+WINDOW = 32 << 20
 
 EVENT_FIELDS = [
     ("log_file", pa.string()), ("file_seq", pa.int32()), ("start_pos", pa.int64()), ("next_pos", pa.int64()), ("event_time", pa.timestamp("us", "UTC")), ("event_type", pa.int32()),
@@ -43,18 +46,39 @@ def table_schema(columns: tuple[Column, ...]) -> pa.Schema:
 
 
 class RangeScan:
-    """The events of a range, each checked against its checksum before use."""
+    """The events of a range, each checked against its checksum before use.  The range is read in windows of
+    whole events: ``data`` and ``range`` are those of the open one."""
 
-    def __init__(self, folder: Folder, r: Range, verify: bool = True, lookback: bool = False):
-        self.folder, self.range, self.verify = folder, r, verify
+    def __init__(self, folder: Folder, r: Range, verify: bool = True, lookback: bool = False, window: int = WINDOW):
+        self.folder, self.whole, self.verify, self.window = folder, settled(folder, r), verify, window
         self.format: Format = file_format(folder, r.file)
-        self.data = folder.read(r.file, r.start, r.end - r.start)
+        self.data, self.range = b"", self.whole
         self.maps: dict[int, TableMap] = {}
-        if lookback and r.start > FIRST:
-            head = folder.read(r.file, FIRST, r.start - FIRST)
-            for pos, h in iterate(head, 0, len(head), self.format.version):
-                if h.type == TABLE_MAP:
-                    self._map(head, pos, h)
+        if lookback and self.whole.start > FIRST:
+            for _ in self.windows(replace(self.whole, start=FIRST, end=self.whole.start)):
+                for pos, h in iterate(self.data, 0, len(self.data), self.format.version):
+                    if h.type == TABLE_MAP:
+                        self._map(self.data, pos, h)
+
+    def windows(self, r: Range | None = None) -> Iterator[RangeScan]:
+        """This scan, with one window after the other open."""
+        r = r or self.whole
+        at, size = r.start, self.window
+        while at < r.end:
+            data = self.folder.read(r.file, at, min(size, r.end - at))
+            whole, need = 0, 0
+            for pos, h in iterate(data, 0, len(data), self.format.version):
+                whole = pos + h.size
+            if not whole:
+                if len(data) >= self.head:
+                    need = read_header(data, 0, self.format.version).size
+                if len(data) < size or need <= size or at + need > r.end:
+                    return  # a torn tail
+                size = need
+                continue
+            self.data, self.range, size = data[:whole], replace(r, start=at, end=at + whole), self.window
+            yield self
+            at += whole
 
     @property
     def head(self) -> int:
