@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tidelog.llm import common, jaccard, licenses, links, media, mixing, order_minhash, packing, quality, sharding, substring, tokens
@@ -268,6 +270,63 @@ def test_sharding_skew(spark):
     assert {r[0] for r in whole.select("law").distinct().collect()} == {"bytes"} and whole.where("grown_shard IS NOT NULL").count() == 0
 
 
+def test_shards_by_hand(spark):
+    """Sizes, checksums, order and splitters of the whole query against the rows themselves."""
+    docs = {r[0]: (r[1] or "").encode() for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()}
+    rows = {r["doc_id"]: r for r in QUERIES["op4_shard_documents"](spark, SMALL).collect()}
+    assert set(rows) == set(docs)
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    order = sorted(docs, key=lambda d: (signed(xxhash.xxh64(docs[d], seed=42).intdigest()), d))
+    assert all(rows[d]["size"] == len(docs[d]) + 16 and rows[d]["text_crc32"] == zlib.crc32(docs[d]) for d in docs)
+    places = [(rows[d]["shard"], rows[d]["slot"]) for d in order]
+    assert places == sorted(places)
+    total, below = sum(r["size"] for r in rows.values()), 0
+    edge = {}
+    for d in order:
+        edge.setdefault(rows[d]["shard"], below)
+        below += rows[d]["size"]
+    sizes = np.cumsum([0] + [rows[d]["size"] for d in order])
+    for s, at in edge.items():
+        nearest = np.abs(sizes - total * s / 40).min()
+        assert abs(at - total * s / 40) <= nearest + sharding.TOLERANCE * total / 40 + 1e-6
+
+
+def test_quality_features_by_hand(spark):
+    """Context sums over a small corpus, and a document's features, word by word."""
+    texts = ["The cat sat. The cat ran 12 miles", "a A a", None, "x", "the CAT sat on 7 mats , the cat"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    sums = quality.context_sums(df)
+    at, sign = quality.index_vectors()
+    want = np.zeros_like(sums)
+    lists = []
+    for t in texts:
+        buf = np.frombuffer((t or "").encode(), np.uint8)
+        word, shape, _ = quality.tokens(buf, np.array([0, len(buf)]))
+        assert len(word) == len(shape) == len((t or "").split())
+        lists.append((word, shape))
+        for seq in (word, shape):
+            for i in range(len(seq)):
+                for j in range(max(0, i - quality.REACH), min(len(seq), i + quality.REACH + 1)):
+                    if i != j:
+                        for k in range(quality.NONZERO):
+                            want[seq[i], at[seq[j], k]] += sign[seq[j], k]
+    assert (sums == want).all()
+    vectors = quality.unit_vectors(sums)
+    assert np.allclose(np.linalg.norm(vectors, axis=1)[np.abs(sums).sum(1) > 0], 1, atol=1e-6)
+    raw = [(t or "").encode() for t in texts]
+    off = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    got = quality.features(np.frombuffer(b"".join(raw), np.uint8), off, vectors)
+    for i, pair in enumerate(lists):
+        for part, seq in enumerate(pair):
+            v = vectors[seq].astype(float) if len(seq) else np.zeros((1, quality.DIM))
+            mean, dev = v.mean(0), v.std(0)
+            base = part * 2 * quality.DIM
+            assert np.allclose(got[i, base : base + quality.DIM], mean, atol=1e-5) and np.allclose(got[i, base + quality.DIM : base + 2 * quality.DIM], dev, atol=1e-3)
+            assert got[i, 4 * quality.DIM + part] == pytest.approx(np.linalg.norm(mean), abs=1e-5)
+            same = sum(a == b for a, b in zip(seq, seq[1:])) / (len(seq) - 1) if len(seq) > 1 else 0
+            assert got[i, 4 * quality.DIM + 2 + part] == pytest.approx(same)
+
+
 def test_quality(spark, odd, empty):
     sf = "/root/testdata/sf0.01"
     labels = {r[0]: r[1] for r in spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality").collect()}

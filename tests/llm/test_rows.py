@@ -129,6 +129,40 @@ def test_every_token_is_its_own_encoding():
     assert all(v.encode(t) == [i] for t, i in list(v.tokens.items())[::37])
 
 
+def test_fast_ids_are_the_library_s():
+    """The packing encoder gives the library's ids for every entry of the vocabulary, alone, in pairs and in runs."""
+    t, fast, rng = Tokenizer.from_file(PATH), packing.encoder(PATH), random.Random(40)
+    words = [t.decode([i], skip_special_tokens=False) for i in range(t.get_vocab_size())]
+    texts = words + [rng.choice(words) + rng.choice(words) for _ in range(30_000)] + ["".join(rng.choices(words, k=40)) for _ in range(3000)]
+    for text, ids in zip(texts, t.encode_batch(texts, add_special_tokens=False)):
+        assert fast(text).tolist() == ids.ids, text
+
+
+def hash_by_hand(payload, rows=8, cols=9):
+    """Means of the areas under an 8 by 9 grid, cell by cell, and whether each is darker than the next."""
+    h, w = len(payload) // 64, 64
+    out = ""
+    grid = [[0.0] * cols for _ in range(rows)]
+    for i in range(rows):
+        for j in range(cols):
+            total = area = 0.0
+            for y in range(int(i * h / rows), min(h, -(-(i + 1) * h // rows))):
+                dy = min(y + 1, (i + 1) * h / rows) - max(y, i * h / rows)
+                for x in range(int(j * w / cols), min(w, -(-(j + 1) * w // cols))):
+                    part = dy * (min(x + 1, (j + 1) * w / cols) - max(x, j * w / cols))
+                    total, area = total + part * payload[y * 64 + x], area + part
+            grid[i][j] = total / area
+    for row in grid:
+        out += "".join("1" if a < b - 1e-9 else "0" for a, b in zip(row, row[1:]))
+    return f"{int(out, 2):016x}"
+
+
+def test_media_features_by_hand(spark):
+    docs = {r[0]: r[1] for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()}
+    for r in QUERIES["op5_media_columns"](spark, SMALL).where("n_bytes < 4000").collect():
+        assert r["feature"] == hash_by_hand(media.payload_of((docs[r["doc_id"]] or "").encode())), r["doc_id"]
+
+
 def test_media(spark, odd, empty):
     for r in media.text_media(odd, keep_media=True).join(odd.select("doc_id", "text"), "doc_id").where("doc_id NOT IN (3, 6)").collect():
         text = (r["text"] or "").encode()

@@ -69,6 +69,8 @@ class Vocabulary:
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = (bytes(chars[c] for c in x) for x in (pair if isinstance(pair, list) else pair.split(" ")))
             self.merge[raw[a], raw[b]] = (rank, raw[a + b])
+        if max([*raw.values(), len(raw)]) >= _NONE:
+            raise ValueError(f"a vocabulary of {_NONE} tokens or more has no room in 16-bit pairs")
         self.longest = max(map(len, raw))
         self._lengths = sorted({len(t) for t in raw}, reverse=True)
         self._follows: dict[tuple[int, int], bool] = {}
@@ -341,11 +343,3 @@ def put_ragged(dst, dst_start, src, src_start, size) -> None:
         return
     inner = np.arange(total) - np.repeat(np.cumsum(size) - size, size)
     dst[np.repeat(dst_start, size) + inner] = src[np.repeat(src_start, size) + inner]
-
-
-def gather_ragged(val, off, row) -> tuple[np.ndarray, np.ndarray]:
-    """Values of rows one after the other, and the size of each."""
-    size = (off[1:] - off[:-1])[row]
-    out = np.empty(int(size.sum()), val.dtype)
-    put_ragged(out, np.cumsum(size) - size, val, off[:-1][row], size)
-    return out, size
