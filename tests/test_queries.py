@@ -8,8 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from tidelog.plans import controls, relational  # noqa: F401  register their queries
 from tidelog.plans import queries as core
-from tidelog.plans import relational  # noqa: F401  registers its queries
 
 SMALL = "/root/testdata/sf0.001"
 

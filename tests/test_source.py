@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidelog.functions import exprs
+from tidelog.functions import exprs, sql
 from tidelog.operators import frames, maintenance
 from tidelog.plans import planner
 from tidelog.sources.events import LogBuilder
@@ -86,6 +87,37 @@ def test_checksums(spark, rows, tmp_path):
     assert frames.table(spark, bare, "db.t").count() == 1000
 
 
+def test_permissive(spark, rows, tmp_path):
+    path = str(tmp_path / "log")
+    frames.write_log(rows.coalesce(1), path, "db.t", rowsPerEvent=100)
+    file = f"{path}/log.000001"
+    heads = frames.events(spark, path).where("event_name = 'writeRowsV2'").orderBy("start_pos").collect()
+    data = bytearray(open(file, "rb").read())
+    data[heads[2]["start_pos"] + 60] ^= 1
+    end = heads[5]["start_pos"] + heads[5]["event_size"]  # a good checksum of rows that end too late
+    data[end - 10] = 0xFF
+    data[end - 11] = 0xFF
+    body = heads[5]["start_pos"]
+    for i in range(body + 45, end - 4):
+        data[i] = 0xFE
+    data[end - 4 : end] = zlib.crc32(bytes(data[body : end - 4])).to_bytes(4, "little")
+    open(file, "wb").write(data)
+    with pytest.raises(Exception):
+        frames.table(spark, path, "db.t").count()
+    for lost in (frames.table(spark, path, "db.t", errors="permissive"), frames.rows(spark, path, errors="permissive"), frames.table(spark, path, "db.t", errors="permissive", windowBytes=2000)):
+        assert lost.count() == 800
+    bad = frames.corrupt(spark, path).orderBy("start_pos").collect()
+    assert [r["start_pos"] for r in bad] == [heads[2]["start_pos"], heads[5]["start_pos"]]
+    assert "wrong checksum" in bad[0]["reason"] and "can't be read" in bad[1]["reason"]
+    assert frames.events(spark, path, errors="permissive").where("NOT crc_ok AND detail IS NULL").count() == 1
+
+
+def test_sql_functions(spark):
+    sql.register(spark)
+    got = spark.sql("SELECT tidelog_event_name(250), tidelog_event_name(CAST(NULL AS INT)), tidelog_op(2), tidelog_uint(X''), tidelog_uint(X'FFFFFFFFFFFFFFFF'), tidelog_crc_matches(X'6162636461626364'), tidelog_json(X'FF')").first()
+    assert got[0] == "0xfa" and got[1] is None and got[2] is None and got[3] == 0 and int(got[4]) == 2**64 - 1 and got[5] is False and got[6] is None
+
+
 def test_start_between_table_map_and_rows(spark, rows, tmp_path):
     path = str(tmp_path / "log")
     frames.write_log(rows.coalesce(1), path, "db.t", rowsPerEvent=500)

@@ -44,6 +44,11 @@ def rows(spark: SparkSession, path: str, **options) -> DataFrame:
     return _read(spark, path, mode="rows", **options)
 
 
+def corrupt(spark: SparkSession, path: str, **options) -> DataFrame:
+    """One row an event that ``errors="permissive"`` leaves out, with the reason."""
+    return _read(spark, path, mode="corrupt", **options)
+
+
 def table(spark: SparkSession, path: str, name: str, **options) -> DataFrame:
     """One row a changed row of one table, images as typed structs."""
     return _read(spark, path, mode="table", table=name, **options)

@@ -1,10 +1,12 @@
 """The ``tidelog`` data source: batch and streaming reads of log folders, and writes.
 
-Options for reading: ``path``; ``mode`` (``events``, ``rows`` or ``table``); ``table``
+Options for reading: ``path``; ``mode`` (``events``, ``rows``, ``table`` or ``corrupt``); ``table``
 (``db.table``, of mode ``table``); ``startingPosition`` (``earliest``, ``latest``, ``FILE``
 or ``FILE:POS``); ``endingPosition``; ``rangeBytes``; ``verify`` (checksums, on by
 default); ``lookback`` (take in the table maps before the start); ``payload`` (bodies
-of events); ``windowBytes`` (what a task holds of its range at a time).
+of events); ``windowBytes`` (what a task holds of its range at a time); ``errors`` (``failfast``,
+or ``permissive``: events with a wrong checksum, without a table map or that can't be decoded give
+no rows, and in mode ``events`` no detail; mode ``corrupt`` lists them with the reason).
 
 Options for writing: ``path``, ``database``, ``table``, ``types`` (JSON by column), ``key``,
 ``rowsPerEvent``, ``eventsPerTransaction``, ``checksum``, ``metadata`` (``full`` or
@@ -34,7 +36,7 @@ from pyspark.sql.types import StructType
 from ..plans.planner import RANGE_BYTES, Range, list_files, plan, resolve
 from .encoder import LogWriter, table_of
 from .files import Folder
-from .scan import EVENTS_SCHEMA, ROWS_SCHEMA, WINDOW, RangeScan, first_table_map, scan_events, scan_rows, scan_table, table_schema
+from .scan import CORRUPT_SCHEMA, EVENTS_SCHEMA, ROWS_SCHEMA, WINDOW, RangeScan, first_table_map, scan_corrupt, scan_events, scan_rows, scan_table, table_schema
 
 NAME = "tidelog"
 FILE_BYTES = 128 << 20
@@ -80,14 +82,23 @@ class Scanner:
         return to_arrow_schema(self.schema)
 
     def scan(self, r: Range):
-        scan = RangeScan(self.folder, r, _on(self.options, "verify", True), _on(self.options, "lookback", False), int(self.options.get("windowBytes", WINDOW)))
+        o = self.options
+        permissive = self.mode == "corrupt" or o.get("errors", "failfast").lower() == "permissive"
+        scan = RangeScan(self.folder, r, _on(o, "verify", True), _on(o, "lookback", False), int(o.get("windowBytes", WINDOW)), permissive)
         for s in scan.windows():
             if self.mode == "events":
-                yield from scan_events(s, self.types, _on(self.options, "payload", True))
-            elif self.mode == "table":
-                yield from scan_table(s, self.options["table"], self.arrow())
+                yield from scan_events(s, self.types, _on(o, "payload", True))
+            elif self.mode == "corrupt":
+                yield from scan_corrupt(s)
+            elif permissive:
+                yield from s.tolerant(self._changes)
             else:
-                yield from scan_rows(s, self._wanted if self.types or self.tables or self.schemas else None)
+                yield from self._changes(s)
+
+    def _changes(self, s: RangeScan):
+        if self.mode == "table":
+            return scan_table(s, self.options["table"], self.arrow())
+        return scan_rows(s, self._wanted if self.types or self.tables or self.schemas else None)
 
     def _wanted(self, t, h) -> bool:
         return (self.types is None or h.type in self.types) and (self.tables is None or t.table in self.tables) and (self.schemas is None or t.schema in self.schemas)
@@ -216,6 +227,8 @@ class LogSource(DataSource):
         mode = self.options.get("mode", "rows")
         if mode == "events":
             return from_arrow_schema(EVENTS_SCHEMA, prefer_timestamp_ntz=True)
+        if mode == "corrupt":
+            return from_arrow_schema(CORRUPT_SCHEMA, prefer_timestamp_ntz=True)
         if mode == "table":
             folder = Folder(self.options["path"])
             t = first_table_map(folder, plan(folder, None, None, 1 << 62), self.options["table"])

@@ -29,6 +29,9 @@ _MAP = pa.map_(pa.string(), pa.string())
 ROWS_SCHEMA = pa.schema(
     [*EVENT_FIELDS, ("row_no", pa.int32()), ("op", pa.string()), ("schema_name", pa.string()), ("table_name", pa.string()), ("table_id", pa.int64()), ("schema_fp", pa.int64()), ("before", _MAP), ("after", _MAP)]
 )
+CORRUPT_SCHEMA = pa.schema(
+    [("log_file", pa.string()), ("file_seq", pa.int32()), ("start_pos", pa.int64()), ("event_type", pa.int32()), ("event_name", pa.string()), ("event_size", pa.int64()), ("reason", pa.string())]
+)
 TABLE_FIELDS = [("log_file", pa.string()), ("file_seq", pa.int32()), ("start_pos", pa.int64()), ("row_no", pa.int32()), ("event_time", pa.timestamp("us", "UTC")), ("op", pa.string())]
 
 
@@ -49,8 +52,10 @@ class RangeScan:
     """The events of a range, each checked against its checksum before use.  The range is read in windows of
     whole events: ``data`` and ``range`` are those of the open one."""
 
-    def __init__(self, folder: Folder, r: Range, verify: bool = True, lookback: bool = False, window: int = WINDOW):
-        self.folder, self.whole, self.verify, self.window = folder, settled(folder, r), verify, window
+    def __init__(self, folder: Folder, r: Range, verify: bool = True, lookback: bool = False, window: int = WINDOW, permissive: bool = False):
+        self.folder, self.whole, self.verify, self.window, self.permissive = folder, settled(folder, r), verify, window, permissive
+        self.careful = False  # one event at a time, after some event of the window couldn't be decoded
+        self.bad: dict[int, tuple[Header, str]] = {}
         self.format: Format = file_format(folder, r.file)
         self.data, self.range = b"", self.whole
         self.maps: dict[int, TableMap] = {}
@@ -80,6 +85,21 @@ class RangeScan:
             yield self
             at += whole
 
+    def fail(self, pos: int, h: Header, reason: str) -> None:
+        """Stops at an event, or notes it where the scan is permissive."""
+        if not self.permissive:
+            raise CorruptLog(f"{self.range.file}: {reason} at {self.range.start + pos}")
+        self.bad.setdefault(self.range.start + pos, (h, reason))
+
+    def tolerant(self, batches) -> Iterator[pa.RecordBatch]:
+        """The batches of a window; where an event can't be decoded, those of all others, event by event."""
+        try:
+            found = list(batches(self))
+        except Exception:
+            found, self.careful = None, True
+        yield from batches(self) if found is None else found
+        self.careful = False
+
     @property
     def head(self) -> int:
         return 19 if self.format.version > 1 else 13
@@ -97,9 +117,14 @@ class RangeScan:
         for pos, h in iterate(self.data, 0, len(self.data), self.format.version):
             ok = checksum_ok(self.data, pos, h.size) if self.format.checksum and h.size >= 23 else None
             if ok is False and self.verify:
-                raise CorruptLog(f"{self.range.file}: wrong checksum of the event at {self.range.start + pos}")
-            if h.type == TABLE_MAP:
-                self._map(self.data, pos, h)
+                self.fail(pos, h, "wrong checksum of the event")
+            elif h.type == TABLE_MAP:
+                try:
+                    self._map(self.data, pos, h)
+                except (ValueError, IndexError) as e:
+                    if not self.permissive:
+                        raise
+                    self.fail(pos, h, f"table map that can't be read ({e})")
             elif h.type == FORMAT and self.range.start + pos > FIRST:
                 self.format = decode_format(memoryview(self.data)[pos + self.head : pos + h.size])
             yield pos, h, ok
@@ -107,17 +132,25 @@ class RangeScan:
     def rows_events(self):
         """(offset, header, ok, table, rows header) of rows events with a table."""
         for pos, h, ok in self.events():
-            if h.type not in ROWS:
+            if h.type not in ROWS or ok is False and self.verify:
                 continue
             end = pos + h.size - self._tail(h)
-            head = decode_rows_header(self.data, pos + self.head, end, h.type, self.format.post_header(h.type, 10))
+            try:
+                head = decode_rows_header(self.data, pos + self.head, end, h.type, self.format.post_header(h.type, 10))
+            except (ValueError, IndexError) as e:
+                if not self.permissive:
+                    raise
+                self.fail(pos, h, f"rows that can't be read ({e})")
+                continue
             if head.table_id == DUMMY_TABLE or not head.present and not head.present_after:
                 continue
             t = self.maps.get(head.table_id)
             if t is None:
-                raise CorruptLog(f"{self.range.file}: rows at {self.range.start + pos} have no table map; start earlier, or set lookback")
+                self.fail(pos, h, "rows with no table map (start earlier, or set lookback)")
+                continue
             if max(head.present + (head.present_after or ())) >= len(t.columns):
-                raise CorruptLog(f"{self.range.file}: rows at {self.range.start + pos} have more columns than their table")
+                self.fail(pos, h, "rows of more columns than their table has")
+                continue
             yield pos, h, ok, t, head, end
 
 
@@ -143,7 +176,7 @@ def scan_events(scan: RangeScan, types: set[int] | None = None, payload: bool =
             continue
         heads.append((pos, h, ok))
         body = scan.data[pos + scan.head : pos + h.size - (0 if h.type == FORMAT else scan._tail(h))] if payload else None
-        details.append(describe(h.type, body) if payload else None)
+        details.append(_detail(scan, pos, h, body, ok) if payload else None)
         bodies.append(body)
         size += h.size
         if len(heads) >= BATCH_ROWS or size > 8 << 20:
@@ -153,6 +186,18 @@ def scan_events(scan: RangeScan, types: set[int] | None = None, payload: bool =
         yield flush()
 
 
+def _detail(scan: RangeScan, pos: int, h: Header, body: bytes, ok: bool | None) -> str | None:
+    if not scan.permissive:
+        return describe(h.type, body)
+    if ok is False:
+        return None
+    try:
+        return describe(h.type, body)
+    except Exception as e:
+        scan.fail(pos, h, f"event that can't be read ({e})")
+        return None
+
+
 class _Images:
     """Images of one table, kind of event and choice of columns, until a batch is full."""
 
@@ -193,6 +238,15 @@ def scan_images(scan: RangeScan, wanted=None) -> Iterator[_Images]:
         if wanted is not None and not wanted(t, h):
             continue
         key = (t, h.type in UPDATE_ROWS, h.type in DELETE_ROWS, head.present, head.present_after, version_of(h.type) > 0)
+        if scan.careful:
+            alone = _Images(t, op_name(h.type), head.present, head.present_after)
+            try:
+                alone.take(scan.data, pos, h, ok, head.start, end)
+            except Exception as e:
+                scan.fail(pos, h, f"rows that can't be read ({e})")
+                continue
+            yield alone
+            continue
         g = groups.get(key)
         if g is None:
             g = groups[key] = _Images(t, op_name(h.type), head.present, head.present_after)
@@ -220,20 +274,56 @@ def _maps(side, n: int) -> pa.Array:
     return pa.MapArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * k), keys, values)
 
 
+def _decoded(scan: RangeScan, groups: Iterator[_Images], convert) -> Iterator[pa.RecordBatch]:
+    for g in groups:
+        try:
+            batch = convert(g)
+        except Exception as e:
+            if not scan.careful:
+                raise
+            pos, h, _ = g.heads[0]
+            scan.fail(pos, h, f"rows that can't be read ({e})")
+            continue
+        yield batch
+
+
 def scan_rows(scan: RangeScan, wanted=None) -> Iterator[pa.RecordBatch]:
     data = np.frombuffer(scan.data, np.uint8)
-    for g in scan_images(scan, wanted):
+
+    def convert(g: _Images) -> pa.RecordBatch:
         at, row_no = _row_numbers(g.repeat)
         n = len(at)
         index = pa.array(at)
         heads = [a.take(index) for a in _event_arrays(scan, g.heads)]
         before, after = g.sides(data)
         t = g.table
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [*heads, pa.array(row_no.astype(np.int32)), pa.array([g.op] * n), pa.array([t.schema] * n), pa.array([t.table] * n), pa.array([t.table_id] * n, pa.int64()), pa.array([t.fingerprint] * n, pa.int64()), _maps(before, n), _maps(after, n)],
             schema=ROWS_SCHEMA,
         )
 
+    yield from _decoded(scan, scan_images(scan, wanted), convert)
+
+
+def scan_corrupt(scan: RangeScan) -> Iterator[pa.RecordBatch]:
+    """The events of a window that a permissive scan leaves out, and why."""
+    scan.bad = {}
+    for pos, h, ok in scan.events():
+        if h.type not in ROWS:
+            _detail(scan, pos, h, scan.data[pos + scan.head : pos + h.size - (0 if h.type == FORMAT else scan._tail(h))], ok)
+    for _ in scan.tolerant(scan_rows):
+        pass
+    if scan.bad:
+        r, places = scan.range, sorted(scan.bad)
+        found = [scan.bad[p] for p in places]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([r.file] * len(found), pa.string()), pa.array([r.seq] * len(found), pa.int32()), pa.array(places, pa.int64()), pa.array([h.type for h, _ in found], pa.int32()),
+                pa.array([event_name(h.type) for h, _ in found], pa.string()), pa.array([h.size for h, _ in found], pa.int64()), pa.array([why for _, why in found], pa.string()),
+            ],
+            schema=CORRUPT_SCHEMA,
+        )
+
 
 def _struct(side, target: pa.StructType, n: int) -> pa.Array:
     """An image with the target's fields: by name, null where the image has none."""
@@ -251,17 +341,20 @@ def scan_table(scan: RangeScan, name: str, schema: pa.Schema) -> Iterator[pa.Rec
     """Rows of one table; schemas that change are matched by column name and widened."""
     data = np.frombuffer(scan.data, np.uint8)
     image = schema.field("after").type
-    for g in scan_images(scan, lambda t, h: f"{t.schema}.{t.table}" == name):
+
+    def convert(g: _Images) -> pa.RecordBatch:
         at, row_no = _row_numbers(g.repeat)
         n = len(at)
         index = pa.array(at)
         heads = dict(zip([f for f, _ in EVENT_FIELDS], _event_arrays(scan, g.heads)))
         before, after = g.sides(data)
         fixed = [heads[c].take(index) for c in ("log_file", "file_seq", "start_pos")]
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [*fixed, pa.array(row_no.astype(np.int32)), heads["event_time"].take(index), pa.array([g.op] * n), _struct(before, image, n), _struct(after, image, n)], schema=schema
         )
 
+    yield from _decoded(scan, scan_images(scan, lambda t, h: f"{t.schema}.{t.table}" == name), convert)
+
 
 def first_table_map(folder: Folder, ranges: list[Range], name: str) -> TableMap | None:
     """The first definition of a table, by hopping over headers."""
