@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as entry_module
 from tidelog.plans import controls, relational  # noqa: F401  register their queries
 from tidelog.plans import queries as core
+from tidelog.sources import datasource
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -45,6 +46,25 @@ def test_query(spark, tables, name):
         assert got == cells(rel.select(*[duckdb.ColumnExpression(c) for c in cols]).fetchall())
 
 
+@pytest.mark.parametrize("name", ["tablemap_asof"])
+def test_batches_and_files_end_early(spark, tables, tmp_path, monkeypatch, name):
+    """As with large tables: where Arrow batches and files of bounded size end changes no result."""
+    monkeypatch.setattr(core, "base_folder", lambda spark: str(tmp_path))
+    monkeypatch.setattr(datasource, "FILE_BYTES", 10_000)
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": "100", "spark.sql.execution.arrow.maxBytesPerBatch": "4096"}
+    before = {k: spark.conf.get(k) for k in limits}
+    for k, v in limits.items():
+        spark.conf.set(k, v)
+    try:
+        df = core.QUERIES[name](spark, SMALL)
+        cols = sorted(df.columns)
+        got = cells(map(tuple, df.select(*cols).collect()))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == cells(tables.sql(core.SQL[name]).select(*[duckdb.ColumnExpression(c) for c in cols]).fetchall())
+
+
 def test_entry(spark):
     df = entry_module.entry(spark)
     assert df.count() > 0

@@ -308,6 +308,33 @@ def test_many_files_and_a_large_one(spark, tmp_path):
     assert frames.table(spark, folder.path, "db.t", rangeBytes=20_000).count() == total
 
 
+def test_events_are_full_over_batches(tmp_path):
+    import pyarrow as pa
+
+    from tidelog.sources.encoder import LogWriter, table_of
+
+    image = pa.struct([pa.field("id", pa.int64())])
+    w = LogWriter(table_of("db", "t", image, {}, []), rows_per_event=4, events_per_transaction=2)
+
+    def changes(op, ids):
+        none, some = pa.nulls(len(ids), image), pa.array([{"id": i} for i in ids], image)
+        return pa.RecordBatch.from_arrays([pa.array([op] * len(ids)), none if op == "insert" else some, none if op == "delete" else some], names=["op", "before", "after"])
+
+    for a in range(0, 21, 3):
+        w.extend(changes("insert", range(a, a + 3)))
+    w.extend(changes("update", [1]))
+    w.extend(changes("update", [2]))
+    w.extend(changes("delete", [3]))
+    w.close()
+    assert not w.held
+    Folder(str(tmp_path)).write("log.000001", w.log.drain())
+    assert w.log.bytes() == b""
+    sizes = [n for _, kind, n in planner.hop(Folder(str(tmp_path)), "log.000001") if kind == EVENT["writeRowsV2"]]
+    assert len(sizes) == 6 and len(set(sizes[:5])) == 1  # 4 rows each, and 1
+    kinds = [kind for _, kind, _ in planner.hop(Folder(str(tmp_path)), "log.000001")]
+    assert kinds.count(EVENT["xid"]) == 5 and kinds.count(EVENT["updateRowsV2"]) == kinds.count(EVENT["deleteRowsV2"]) == 1
+
+
 def test_files_of_bounded_size_and_overwrite(spark, rows, tmp_path):
     path = str(tmp_path / "log")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")

@@ -12,6 +12,8 @@ from ..sources.events import LogBuilder
 from ..sources.files import Folder
 from .queries import _COUNTS, ROWS_PER_EVENT, cached, one_log, query
 
+CHUNK = 8 << 20
+
 
 def _control_log(path: str) -> None:
     """One event of each kind that holds no rows; every field has a value of its own."""
@@ -56,10 +58,14 @@ def _damaged(spark, sf_dir) -> str:
         source = one_log(spark, sf_dir)
         at = frames.events(spark, source, payload=False).where("event_name = 'writeRowsV2'").agg(F.min(F.struct("start_pos", "log_file", "event_size"))).first()[0]
         maintenance.copy_log(spark, source, path)
-        folder = Folder(path)
-        data = bytearray(folder.read(at["log_file"], 0, folder.size(at["log_file"])))
-        data[at["start_pos"] + at["event_size"] // 2] ^= 1
-        folder.write(at["log_file"], bytes(data))
+        name, bad, whole = at["log_file"], at["start_pos"] + at["event_size"] // 2, Folder(source)
+        size = whole.size(name)
+        with Folder(path).stream(name) as f:
+            for begin in range(0, size, CHUNK):
+                data = bytearray(whole.read(name, begin, min(CHUNK, size - begin)))
+                if begin <= bad < begin + len(data):
+                    data[bad - begin] ^= 1
+                f.write(bytes(data))
 
     return cached(spark, sf_dir, "orders-damaged", build)
 

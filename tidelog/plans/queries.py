@@ -22,6 +22,7 @@ from ..sources.files import Folder
 
 ROWS_PER_EVENT = 256
 EVENTS_PER_TRANSACTION = 8
+ONE_FILE = 1 << 62
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
@@ -327,18 +328,12 @@ def event_type_counts(spark, sf_dir):
 def one_log(spark, sf_dir) -> str:
     """Orders in one file of one table's inserts, in full events."""
     df = read(spark, sf_dir, "orders")
-    return cached(spark, sf_dir, "orders-one", lambda p: _write_full(df, p))
+    return cached(spark, sf_dir, "orders-one", lambda p: _write_one(df, p, "shop.orders"))
 
 
-def _write_full(df: DataFrame, path: str) -> None:
-    """One partition as one Arrow batch, so that all events but the last are full."""
-    spark = df.sparkSession
-    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "0")
-    try:
-        frames.write_log(df.coalesce(1), path, "shop.orders", rowsPerEvent=ROWS_PER_EVENT, eventsPerTransaction=EVENTS_PER_TRANSACTION)
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+def _write_one(df: DataFrame, path: str, table: str) -> None:
+    """Rows as one more file, however large; all its events but the last are full."""
+    frames.write_log(df.coalesce(1), path, table, rowsPerEvent=ROWS_PER_EVENT, eventsPerTransaction=EVENTS_PER_TRANSACTION, fileBytes=ONE_FILE)
 
 
 @query(f"SELECT 1 + 3 * t + 2 * e AS events, 3 * t + 2 * e AS linked, 1 + 3 * t + 2 * e AS intact FROM {_COUNTS}")
@@ -358,9 +353,8 @@ def checksum_ok(spark, sf_dir):
 @query(f"SELECT 'shop.orders' AS name, e AS events FROM {_COUNTS} UNION ALL SELECT 'shop.customer', CAST(ceil(count(*) / {ROWS_PER_EVENT}.0) AS BIGINT) FROM customer")
 def tablemap_asof(spark, sf_dir):
     def build(path: str) -> None:
-        _write_full(read(spark, sf_dir, "orders"), path)
-        df = read(spark, sf_dir, "customer").coalesce(1)
-        frames.write_log(df, path, "shop.customer", rowsPerEvent=ROWS_PER_EVENT)
+        _write_one(read(spark, sf_dir, "orders"), path, "shop.orders")
+        _write_one(read(spark, sf_dir, "customer"), path, "shop.customer")
 
     log = frames.events(spark, cached(spark, sf_dir, "two-tables", build))
     return frames.with_table_map(log).where("event_name = 'writeRowsV2'").groupBy(F.col("table").alias("name")).agg(F.count("*").alias("events"))
@@ -384,7 +378,7 @@ def _ordered_chain(spark, sf_dir) -> str:
     def build(path: str) -> None:
         orders = read(spark, sf_dir, "orders")
         for part in range(3):
-            frames.write_log(orders.where(f"o_orderkey % 3 = {part}").coalesce(1), path, "shop.orders")
+            _write_one(orders.where(f"o_orderkey % 3 = {part}"), path, "shop.orders")
 
     return cached(spark, sf_dir, "orders-chain", build)
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from contextlib import ExitStack
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -169,23 +170,29 @@ class FolderWriter(DataSourceArrowWriter):
 
         number, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex[:8]
         limit, folder = int(self.options.get("fileBytes", FILE_BYTES)), Folder(self.options["path"])
-        log, rows, files = None, 0, []
-
-        def put() -> None:
-            files.append(f"new-{self.run}-{number:06d}-{attempt}-{len(files):06d}")
-            folder.write(files[-1], log.log.bytes())
-
-        for batch in iterator:
-            if not batch.num_rows:
-                continue
-            if log is not None and log.log.pos >= limit:
-                put()
-                log = None
-            log = log or self._log(batch)
-            log.add(batch)
-            rows += batch.num_rows
-        if log is not None:
-            put()
+        log, out, rows, files = None, None, 0, []
+        with ExitStack() as current:
+
+            def end() -> None:
+                log.close()
+                out.write(log.log.drain())
+                current.close()
+
+            for batch in iterator:
+                if not batch.num_rows:
+                    continue
+                if log is not None and log.size() >= limit:
+                    end()
+                    log = None
+                if log is None:
+                    log = self._log(batch)
+                    files.append(f"new-{self.run}-{number:06d}-{attempt}-{len(files):06d}")
+                    out = current.enter_context(folder.stream(files[-1]))
+                log.extend(batch)
+                out.write(log.log.drain())
+                rows += batch.num_rows
+            if log is not None:
+                end()
         return Written(files, rows)
 
     def commit(self, messages):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
 import pyarrow.fs as pafs
 
@@ -45,34 +46,38 @@ class Folder:
             return f.read() if size is None else f.read(size)
 
     def write(self, name: str, data: bytes) -> None:
-        """All of a file, in place at once where the file system can rename."""
+        """All of a file."""
+        with self.stream(name) as f:
+            f.write(data)
+
+    @contextmanager
+    def stream(self, name: str):
+        """A file to write piece by piece, in place at once where the file system can rename; none after an error."""
         if self.fs is None:
             os.makedirs(self.root, exist_ok=True)
-            with open(self._at(f".{name}.tmp"), "wb") as f:
-                f.write(data)
-            os.replace(self._at(f".{name}.tmp"), self._at(name))
+            fresh = self._at(f".{name}.tmp")
+            try:
+                with open(fresh, "wb") as f:
+                    yield f
+            except BaseException:
+                os.remove(fresh)
+                raise
+            os.replace(fresh, self._at(name))
             return
         self.fs.create_dir(self.root, recursive=True)
-        with self.fs.open_output_stream(self._at(name)) as f:
-            f.write(data)
+        try:
+            with self.fs.open_output_stream(self._at(name)) as f:
+                yield f
+        except BaseException:
+            if self.has(name):
+                self.remove(name)
+            raise
 
     def copy(self, name: str, target: Folder, size: int, chunk: int = 8 << 20) -> None:
         """The first ``size`` bytes of a file, to a file of that name, a chunk at a time."""
-
-        def chunks():
+        with target.stream(name) as f:
             for at in range(0, size, chunk):
-                yield self.read(name, at, min(chunk, size - at))
-
-        if target.fs is None:
-            os.makedirs(target.root, exist_ok=True)
-            with open(target._at(f".{name}.tmp"), "wb") as f:
-                f.writelines(chunks())
-            os.replace(target._at(f".{name}.tmp"), target._at(name))
-            return
-        target.fs.create_dir(target.root, recursive=True)
-        with target.fs.open_output_stream(target._at(name)) as f:
-            for data in chunks():
-                f.write(data)
+                f.write(self.read(name, at, min(chunk, size - at)))
 
     def rename(self, old: str, new: str) -> None:
         if self.fs is None:
