@@ -46,7 +46,7 @@ def test_query(spark, tables, name):
         assert got == cells(rel.select(*[duckdb.ColumnExpression(c) for c in cols]).fetchall())
 
 
-@pytest.mark.parametrize("name", ["tablemap_asof", "checksum_ok", "event_positions", "event_type_counts", "header_expressions", "multi_file_chain", "prefix_prune", "resume_from_position"])
+@pytest.mark.parametrize("name", ["tablemap_asof", "checksum_ok", "event_positions", "event_type_counts", "header_expressions", "multi_file_chain", "prefix_prune", "resume_from_position", "sql_functions"])
 def test_batches_and_files_end_early(spark, tables, tmp_path, monkeypatch, name):
     """As with large tables: where Arrow batches and files of bounded size end changes no result."""
     monkeypatch.setattr(core, "base_folder", lambda spark: str(tmp_path))
