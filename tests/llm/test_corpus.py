@@ -525,6 +525,15 @@ def test_passages_that_go_on_beyond_their_seeds(spark):
     assert (40, 1540, 2) in [(r["start"], r["end"], r["source_doc_id"]) for r in found]
 
 
+def test_runs_before_words_that_are_less_alike(spark):
+    """Fifty equal words are found although what follows them, three equal words in four, is extended over."""
+    run, tail = [f"r{i}" for i in range(50)], [f"t{i}" for i in range(400)]
+    other = [f"x{i}" if i % 4 == 2 else w for i, w in enumerate(tail)]
+    rows = spark.createDataFrame([(1, " ".join(run + tail)), (2, " ".join(run + other))], "doc_id long, text string")
+    got = [tuple(r) for r in substring.shared_passages(rows).select("doc_id", "start", "end", "source_doc_id", "source_start", "equal_words").collect()]
+    assert any(d == 2 and a == 0 and b >= 50 and s == 1 and c == 0 and e >= 50 for d, a, b, s, c, e in got)
+
+
 def test_passages_of_rows_with_one_doc_id(spark):
     """Different texts of one doc_id are searched and cut each for itself; repeated rows are one."""
     rng = random.Random(33)
