@@ -534,6 +534,32 @@ def test_runs_before_words_that_are_less_alike(spark):
     assert any(d == 2 and a == 0 and b >= 50 and s == 1 and c == 0 and e >= 50 for d, a, b, s, c, e in got)
 
 
+def test_passages_whose_seeds_have_other_sources(spark):
+    """60 words with two changed, piece by piece in nine earlier documents: the one that has the passage is the least of no seed."""
+    words = [f"w{i}" for i in range(60)]
+    changed = words[:20] + ["x20"] + words[21:40] + ["x40"] + words[41:]
+    rows = [(i, " ".join([f"a{i}_{j}" for j in range(40)] + words[7 * i : 7 * i + 14] + [f"b{i}_{j}" for j in range(40)])) for i in range(9)]
+    rows += [(20, " ".join([f"c{j}" for j in range(30)] + words + [f"d{j}" for j in range(30)])), (30, " ".join([f"e{j}" for j in range(25)] + changed + [f"f{j}" for j in range(30)]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in substring.shared_passages(docs).select("doc_id", "start", "end", "source_doc_id", "source_start", "source_end", "equal_words").collect()]
+    assert got == [(30, 25, 85, 20, 30, 90, 58)]
+    left = {r.doc_id: r.text for r in substring.remove_passages(docs).collect()}
+    assert left[30] == " ".join([f"e{j}" for j in range(25)] + [f"f{j}" for j in range(30)])
+
+
+def test_partners_of_a_frequent_line(spark):
+    """A line in very many documents makes partners only of those that have more in common near it."""
+    line = [f"l{i}" for i in range(12)]
+    rng = random.Random(5)
+    body = [f"w{i}" for i in range(48)]
+    rows = [(i, " ".join([f"a{i}_{j}" for j in range(60)] + line + [f"b{i}_{j}" for j in range(60)])) for i in range(300)]
+    other = [w if i % 5 else f"x{i}" for i, w in enumerate(body)]  # no seed but the line's
+    rows += [(400, " ".join([f"c{j}" for j in range(60)] + line + body)), (500, " ".join([f"d{j}" for j in range(70)] + line + other))]
+    rng.shuffle(rows)
+    got = [tuple(r) for r in substring.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "source_doc_id", "start", "source_start").collect()]
+    assert got == [(500, 400, 70, 60)]
+
+
 def test_passages_of_rows_with_one_doc_id(spark):
     """Different texts of one doc_id are searched and cut each for itself; repeated rows are one."""
     rng = random.Random(33)
