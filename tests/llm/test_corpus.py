@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -560,6 +561,25 @@ def test_partners_of_a_frequent_line(spark):
     assert got == [(500, 400, 70, 60)]
 
 
+def test_partners_of_a_line_that_documents_repeat():
+    """A line that documents have twice, other words between, makes no partners; the pair with a passage at it is one."""
+    rng = np.random.default_rng(7)
+    line, body = (rng.integers(0, 1 << 32, size).astype(np.uint32) for size in (12, 48))
+    other = lambda size: rng.integers(0, 1 << 32, size).astype(np.uint32)
+    changed = np.where(np.arange(48) % 5 == 0, other(48), body)
+    texts = [np.concatenate([other(60), line, other(20 + i % 30), line, other(120)]) for i in range(60)]
+    texts += [np.concatenate([other(60), line, body, other(60)]), np.concatenate([other(90), line, changed, other(60)])]
+    places = [np.flatnonzero(t == line[4]) - 4 for t in texts]
+    doc = np.repeat(np.arange(len(texts)), [len(p) for p in places])
+    first, pos = np.concatenate([[0], np.cumsum([len(t) for t in texts])]), np.concatenate(places)
+    near = substring._near(np.concatenate(texts), first[doc], first[doc + 1], first[doc] + pos)
+    one = np.full(len(doc), 5, np.uint64)
+    rows = [substring._placed(one, doc, doc * 0, pos, is_open, near) for is_open in (True, False)]
+    table = pa.Table.from_batches(rows).sort_by([("doc", "ascending"), ("pos", "ascending"), ("open", "descending")]).combine_chunks()
+    got = [pair for batch in substring._partners(table.to_batches()) for pair in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
+    assert got == [(61, 60)]
+
+
 def test_passages_of_rows_with_one_doc_id(spark):
     """Different texts of one doc_id are searched and cut each for itself; repeated rows are one."""
     rng = random.Random(33)
